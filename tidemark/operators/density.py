@@ -77,6 +77,6 @@ def class_density(
         "feature",
         label,
         "point",
-        at.alias("at"),
+        at.alias("at_value"),
         (F.col("mass") / (F.col("rows") * F.col("width") * math.sqrt(2 * math.pi))).alias("density"),
     )

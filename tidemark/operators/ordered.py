@@ -3,77 +3,112 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import observed
 from tidemark.session import cut_lineage, shuffle_partitions
 
 
-def running_totals(
-    rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), descending: bool = False
-) -> DataFrame:
-    """Add ``<c>_upto`` (inclusive running sum) and ``<c>_total`` for each summed column.
+def _order(column: str, descending: bool) -> Column:
+    return F.col(column).desc() if descending else F.col(column).asc()
 
-    ``rows`` must hold one row per (by, order) value, i.e. be aggregated already,
-    so that no value is heavier than any other and the range slices are even.
-    Slice bounds are sampled, hence the slices are frozen once; the sums of all
-    earlier slices are then one small table (a row per slice and group).
+
+def _slices(rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str], descending: bool) -> DataFrame:
+    """Rows in range slices, with the sums of all earlier slices (``_<c>_before``) and of the own slice.
+
+    Slice bounds are sampled, hence the slices are written once. The sums per
+    slice are a small table: a row per slice, and one more per group.
     """
-    spark = rows.sparkSession
-    key = F.col(order).desc() if descending else F.col(order).asc()
-    slices = rows.repartitionByRange(shuffle_partitions(spark), *by, key).withColumn(
-        "_slice", F.spark_partition_id()
-    )
-    slices = cut_lineage(slices)
+    spread = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *by, _order(order, descending))
+    slices = cut_lineage(spread.withColumn("_slice", F.spark_partition_id()), "slices")
 
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
-    per_slice = slices.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_{c}") for c in sums])
+    per_slice = slices.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_{c}_here") for c in sums])
     offsets = per_slice.select(
         *[F.col(c).alias(f"_by_{c}") for c in by],
         F.col("_slice").alias("_offset_slice"),
-        *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}_before") for c in sums],
-        *[F.sum(f"_{c}").over(whole).alias(f"{c}_total") for c in sums],
+        *[f"_{c}_here" for c in sums],
+        *[F.coalesce(F.sum(f"_{c}_here").over(earlier), F.lit(0)).alias(f"_{c}_before") for c in sums],
+        *[F.sum(f"_{c}_here").over(whole).alias(f"{c}_total") for c in sums],
     )
     same = F.col("_slice") == F.col("_offset_slice")
     for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        same = same & (F.col(c) == F.col(f"_by_{c}"))
+    if not by:
+        offsets = F.broadcast(offsets)  # a row per slice
+    return slices.join(offsets, same)
+
+
+def _within_slices(
+    slices: DataFrame, columns: Sequence[str], order: str, sums: Sequence[str], by: Sequence[str], descending: bool
+) -> DataFrame:
     inside = (
-        Window.partitionBy("_slice", *by).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_slice", *by)
+        .orderBy(_order(order, descending))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return slices.join(offsets, same).select(
-        *rows.columns,
+    return slices.select(
+        *columns,
         *[(F.sum(c).over(inside) + F.col(f"_{c}_before")).alias(f"{c}_upto") for c in sums],
         *[F.col(f"{c}_total") for c in sums],
     )
 
 
+def running_totals(
+    rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), descending: bool = False
+) -> DataFrame:
+    """Add ``<c>_upto`` (inclusive running sum) and ``<c>_total`` for each summed column.
+
+    ``rows`` must hold one row per (by, order) value, i.e. be aggregated already,
+    so that no value is heavier than any other and the slices are even. Groups
+    must not be null.
+    """
+    slices = _slices(rows, order, sums, by, descending)
+    return _within_slices(slices, rows.columns, order, sums, by, descending)
+
+
 def value_counts(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct present values with their number of rows ``n``."""
+    """Distinct present values with their number of rows ``n``; rows of no group are left out."""
     return (
         rows.select(*by, observed(F.col(value)).alias(value))
-        .filter(F.col(value).isNotNull())
+        .dropna(subset=[value, *by])
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def quantile_of(value: str, share: float) -> F.Column:
-    """Aggregate over ``running_totals(value_counts(...))``: the quantile between its two closest ranks."""
-    position = F.lit(float(share)) * (F.col("n_total") - 1)
-    low, high = F.floor(position), F.ceil(position)
+def _position(share: float) -> Column:
+    return F.lit(float(share)) * (F.col("n_total") - 1)
 
-    def at(rank: F.Column) -> F.Column:
+
+def quantiles_of_counts(
+    counts: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Named quantiles per group of counted values (column ``n``), between the two closest ranks.
+
+    Only the slices that hold a wanted rank are sorted.
+    """
+    slices = _slices(counts, value, ["n"], by, descending=False)
+    first, last = F.col("_n_before"), F.col("_n_before") + F.col("_n_here") - 1
+    wanted = [(F.floor(_position(s)) <= last) & (F.ceil(_position(s)) >= first) for s in shares.values()]
+    hit = slices.filter(reduce(lambda a, b: a | b, wanted))
+    ranked = _within_slices(hit, counts.columns, value, ["n"], by, descending=False)
+
+    def at(rank: Column) -> Column:
         holds = (F.col("n_upto") - F.col("n") <= rank) & (rank < F.col("n_upto"))
         return F.max(F.when(holds, F.col(value)))
 
-    weight = F.max(position - low)
-    return at(low) + (at(high) - at(low)) * weight
+    def quantile(share: float) -> Column:
+        low, high = F.floor(_position(share)), F.ceil(_position(share))
+        return at(low) + (at(high) - at(low)) * F.max(_position(share) - low)
+
+    return ranked.groupBy(*by).agg(*[quantile(share).alias(name) for name, share in shares.items()])
 
 
 def exact_quantiles(rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """One row per group with the named quantiles, interpolated linearly."""
-    ranked = running_totals(value_counts(rows, value, by), value, ["n"], by)
-    return ranked.groupBy(*by).agg(*[quantile_of(value, share).alias(name) for name, share in shares.items()])
+    return quantiles_of_counts(value_counts(rows, value, by), value, shares, by)

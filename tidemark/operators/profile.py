@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.numbers import min_max, observed
-from tidemark.operators.ordered import quantile_of, running_totals
+from tidemark.operators.ordered import quantiles_of_counts
 
 
 def _long(one_row: DataFrame, names: Sequence[str], key: str, value: str) -> DataFrame:
@@ -30,10 +30,10 @@ def _is_missing(rows: DataFrame, name: str) -> Column:
 
 
 def null_counts(rows: DataFrame) -> DataFrame:
-    """Missing values per column and in total (``column_name`` = ``*``)."""
+    """Missing values per column and in total (``column_name`` = ``(all)``)."""
     each = rows.agg(*[F.count_if(_is_missing(rows, c)).alias(c) for c in rows.columns])
     total = sum((F.col(c) for c in rows.columns), F.lit(0).cast("bigint"))
-    return _long(each.withColumn("*", total), [*rows.columns, "*"], "column_name", "n_null")
+    return _long(each.withColumn("(all)", total), [*rows.columns, "(all)"], "column_name", "n_null")
 
 
 def table_info(rows: DataFrame) -> DataFrame:
@@ -128,9 +128,8 @@ def class_proportions(
 
 def class_quartiles(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Quartiles of each feature per class, exact."""
-    by = ["feature", label]
-    ranked = running_totals(feature_value_counts(rows, features, label), "value", ["n"], by)
-    return ranked.groupBy(*by).agg(*[quantile_of("value", q / 4).alias(f"q{q}") for q in (1, 2, 3)])
+    counts = feature_value_counts(rows, features, label)
+    return quantiles_of_counts(counts, "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["feature", label])
 
 
 def class_profile(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:

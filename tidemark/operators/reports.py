@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.numbers import fixed_point, percent
-from tidemark.operators.ordered import quantile_of, running_totals
+from tidemark.operators.ordered import quantiles_of_counts
+from tidemark.session import cut_lineage
 
 
 def labelled(cls: Column, yes: str, no: str) -> Column:
@@ -32,24 +33,30 @@ def score_rows(scored: DataFrame) -> DataFrame:
 def score_report(scored: DataFrame) -> DataFrame:
     """Mean, exact median, population deviation, extremes, success rate, mean probability and count.
 
-    Entities are first gathered by distinct score, so the scoring runs once and
-    the median comes from running totals instead of a buffer of all scores.
+    Entities are first gathered by distinct score and written once, so the scoring
+    runs once however many of the figures need it.
     """
-    by_note = scored.groupBy("note").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("reussite").alias("passed"), F.sum("proba").alias("proba")
+    by_note = cut_lineage(
+        scored.filter(F.col("note").isNotNull())
+        .groupBy("note")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("reussite").alias("passed"), F.sum("proba").alias("proba")),
+        "scores",
     )
-    ranked = running_totals(by_note, "note", ["n"])
     mean = F.sum(F.col("note") * F.col("n")) / F.sum("n")
-    known_mean = ranked.agg(mean.alias("m")).scalar()
-    return ranked.withColumn("away", F.col("note") - known_mean).agg(
-        mean.alias("mean_note"),
-        quantile_of("note", 0.5).alias("median_note"),
-        F.sqrt(F.sum(F.col("n") * F.col("away") * F.col("away")) / F.sum("n")).alias("sd_note"),
-        F.min("note").alias("min_note"),
-        F.max("note").alias("max_note"),
-        (F.sum("passed") / F.sum("n") * 100).alias("success_rate"),
-        (F.sum("proba") / F.sum("n")).alias("mean_proba"),
-        F.sum("n").alias("n_entities"),
+    known_mean = by_note.agg(mean.alias("m")).scalar()
+    median = quantiles_of_counts(by_note.select("note", "n"), "note", {"median_note": 0.5}).scalar()
+    return (
+        by_note.withColumn("away", F.col("note") - known_mean)
+        .agg(
+            mean.alias("mean_note"),
+            F.sqrt(F.sum(F.col("n") * F.col("away") * F.col("away")) / F.sum("n")).alias("sd_note"),
+            F.min("note").alias("min_note"),
+            F.max("note").alias("max_note"),
+            (F.sum("passed") / F.sum("n") * 100).alias("success_rate"),
+            (F.sum("proba") / F.sum("n")).alias("mean_proba"),
+            F.sum("n").alias("n_entities"),
+        )
+        .withColumn("median_note", median)
     )
 
 

@@ -137,8 +137,8 @@ def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SUMMARY_SQL_VALUES = (
-    f"'{REPORT_TIME}'",
-    "'analyst'",
+    f"max('{REPORT_TIME}')",
+    "max('analyst')",
     "CAST(count(*) AS VARCHAR)",
     "printf('%.2f', avg(note))",
     "printf('%.2f', min(note))",

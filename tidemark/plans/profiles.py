@@ -123,23 +123,23 @@ def _density_sql(grid: int, cut: int) -> str:
 counts AS (SELECT feature, label, value, count(*) AS n FROM long GROUP BY ALL),
 stats AS (SELECT feature, label, count(*) AS rows, stddev_samp(value) * pow(count(*), -0.2) AS width,
                  min(value) AS lo, max(value) AS hi FROM long GROUP BY feature, label),
-points AS (SELECT *, lo - {cut} * width + point * ((hi - lo + 2 * {cut} * width) / {grid - 1}) AS at
+points AS (SELECT *, lo - {cut} * width + point * ((hi - lo + 2 * {cut} * width) / {grid - 1}) AS at_value
            FROM stats, (SELECT CAST(unnest(range({grid})) AS INTEGER) AS point) WHERE width > 0)
-SELECT feature, label, point, round(any_value(at), 6) AS at,
-       round(sum(n * exp(-0.5 * pow((at - value) / width, 2))) / (any_value(rows) * any_value(width) * {math.sqrt(2 * math.pi)!r}), 6)
+SELECT feature, label, point, round(any_value(at_value), 6) AS at_value,
+       round(sum(n * exp(-0.5 * pow((at_value - value) / width, 2))) / (any_value(rows) * any_value(width) * {math.sqrt(2 * math.pi)!r}), 6)
          AS density
 FROM points JOIN counts USING (feature, label) GROUP BY feature, label, point"""
 
 
 @query("class_density", _density_sql(200, 3))
 def class_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(density.class_density(_rollup(spark, sf_dir), TOP, "label"), "at", "density")
+    return rounded(density.class_density(_rollup(spark, sf_dir), TOP, "label"), "at_value", "density")
 
 
 @query("violin_density", _density_sql(100, 2))
 def violin_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     shapes = density.class_density(_rollup(spark, sf_dir), TOP, "label", grid=100, cut=2.0)
-    return rounded(shapes, "at", "density")
+    return rounded(shapes, "at_value", "density")
 
 
 def _bin_sql(feature: str) -> str:

@@ -24,7 +24,8 @@ def _replay(
     spark: SparkSession, sf_dir: str, name: str, metric: Callable[[DataFrame], DataFrame], key: str, key_type: str
 ) -> DataFrame:
     """Run one aggregate over the whole stream and return the sink's current view."""
-    parsed = logs.parse(access_lines(table_stream(spark, f"{sf_dir}/events.parquet", _EVENTS)))
+    # A pattern, because a stream takes a single file only from one.
+    parsed = logs.parse(access_lines(table_stream(spark, f"{sf_dir}/event[s].parquet", _EVENTS)))
     counts = metric(parsed)
     windowed = "window" in counts.columns
     folder = scratch_path(spark, name)

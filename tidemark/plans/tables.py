@@ -38,14 +38,14 @@ def event_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "unit_price_filter",
-    """SELECT l_orderkey, l_linenumber, round(l_extendedprice / nullif(l_quantity, 0), 6) AS unit_price
+    """SELECT l_orderkey, l_linenumber, l_extendedprice / nullif(l_quantity, 0) AS unit_price
        FROM lineitem WHERE l_extendedprice / nullif(l_quantity, 0) < 30000""",
 )
 def unit_price_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     priced = features.below(features.with_ratio(lines, "l_extendedprice", "l_quantity", "unit_price"), "unit_price")
     kept = {"l_orderkey", "l_linenumber", "unit_price"}
-    return rounded(priced.drop(*[c for c in priced.columns if c not in kept], "no_such_column"), "unit_price")
+    return priced.drop(*[c for c in priced.columns if c not in kept], "no_such_column")
 
 
 @query("table_shape", "SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem")
@@ -59,7 +59,7 @@ _NULLS = {c: f"count(*) - count({c})" for c in LINEITEM_TYPES}
 @query(
     "null_counts",
     " UNION ALL ".join(f"SELECT '{c}' AS column_name, {n} AS n_null FROM lineitem" for c, n in _NULLS.items())
-    + f" UNION ALL SELECT '*', {' + '.join(_NULLS.values())} FROM lineitem",
+    + f" UNION ALL SELECT '(all)', {' + '.join(_NULLS.values())} FROM lineitem",
 )
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.null_counts(table(spark, sf_dir, "lineitem"))

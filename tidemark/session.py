@@ -28,10 +28,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that lost executors cannot change its rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` as a table written to the shared folder, so that lost executors cannot change its rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
