@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed_values import PREVIEW_CHARS
 
-# Unicode white space plus the four ASCII separators that also count as blank at a line's ends.
-_BLANK = r"[\s\x1c-\x1f]"
+# Every character that counts as white space at the ends of a line.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
     """Drop white space (any Unicode kind) from both ends."""
-    left = F.regexp_replace(text, rf"(?U)^{_BLANK}+", "")
-    return F.regexp_replace(left, rf"(?U){_BLANK}+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def lines(text: Column) -> Column:

@@ -3,80 +3,96 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.profile import feature_value_counts
+from tidemark.operators.profile import feature_value_counts, with_names
 
 # exp(-z*z/2) is exactly 0 in double precision from here on.
 KERNEL_REACH = 38.7
 
 
+def kernel_sums(values: np.ndarray, counts: np.ndarray, points: np.ndarray, width: float) -> np.ndarray:
+    """Sum of counted kernels at each point; only values in reach of a point are visited."""
+    order = np.argsort(values)
+    values, counts = values[order], counts[order]
+    first = np.searchsorted(values, points - KERNEL_REACH * width)
+    last = np.searchsorted(values, points + KERNEL_REACH * width, side="right")
+    sums = np.empty(len(points))
+    for i, point in enumerate(points):
+        z = (values[first[i] : last[i]] - point) / width
+        sums[i] = np.dot(counts[first[i] : last[i]], np.exp(-0.5 * z * z))
+    return sums
+
+
+def _partial_sums(label: str, grid: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for batch in batches:
+            for key, part in batch.groupby(["feature", label], sort=False):
+                start, step, width = part[["start", "step", "width"]].iloc[0]
+                points = start + np.arange(grid) * step
+                found = kernel_sums(part["value"].to_numpy(), part["n"].to_numpy(float), points, width)
+                sums[key] = sums.get(key, 0.0) + found
+        for (feature, cls), mass in sums.items():
+            yield pd.DataFrame({"feature": feature, label: cls, "point": range(grid), "mass": mass})
+
+    return run
+
+
 def class_density(
     rows: DataFrame, features: Sequence[str], label: str, grid: int = 200, cut: float = 3.0
 ) -> DataFrame:
     """Density on ``grid`` points from ``cut`` bandwidths below the least to above the greatest value.
 
-    Bandwidth is the sample deviation times n^(-1/5). Values are counted first, so
-    the work is distinct values x grid points in reach. A value adds terms only
-    where its kernel is not exactly 0; as bandwidth shrinks with n, large tables
-    touch few grid points per value.
+    Bandwidth is the sample deviation times n^(-1/5). Values are counted first; each
+    task then turns its share of the distinct values into one row per class,
+    feature and point. As bandwidth shrinks with n, large tables visit few points per value.
     """
+    by = ["feature", label]
     counts = feature_value_counts(rows, features, label)
-    weighted_mean = F.sum(F.col("value") * F.col("n")) / F.sum("n")
-    totals = counts.groupBy(F.col("feature").alias("f"), F.col(label).alias("l")).agg(
+    totals = counts.groupBy(*by).agg(
         F.sum("n").alias("rows"),
-        weighted_mean.alias("mean"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
         F.min("value").alias("least"),
         F.max("value").alias("most"),
     )
-    same_class = (F.col("feature") == F.col("f")) & (F.col(label) == F.col("l"))
-    # Spread around the known mean: sums of squares of raw values would cancel.
-    spread = (
-        counts.join(totals, same_class)
-        .groupBy("f", "l", "rows", "least", "most")
-        .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)).alias("squares"))
+    # Squares around the known mean: sums of squares of the values themselves would cancel.
+    squares = F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2))
+    deviation = F.sqrt(F.try_divide(squares, F.col("rows") - 1))
+    width = F.col("width")
+    scales = (
+        counts.join(totals, by)
+        .groupBy(*by, "rows", "least", "most")
+        .agg((deviation * F.pow("rows", F.lit(-0.2))).alias("width"))
+        .filter(width > 0)
         .select(
-            "f",
-            "l",
-            "rows",
-            F.when(
-                F.col("rows") > 1, F.sqrt(F.col("squares") / (F.col("rows") - 1)) * F.pow("rows", F.lit(-0.2))
-            ).alias("width"),
-            "least",
-            "most",
-        )
-        .filter(F.col("width") > 0)
-        .select(
-            "f",
-            "l",
+            *by,
             "rows",
             "width",
-            (F.col("least") - cut * F.col("width")).alias("start"),
-            ((F.col("most") - F.col("least") + 2 * cut * F.col("width")) / (grid - 1)).alias("step"),
+            (F.col("least") - cut * width).alias("start"),
+            ((F.col("most") - F.col("least") + 2 * cut * width) / (grid - 1)).alias("step"),
         )
     )
-    reach = KERNEL_REACH * F.col("width")
-    first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach - F.col("start")) / F.col("step")).cast("int"))
-    last = F.least(F.lit(grid - 1), F.floor((F.col("value") + reach - F.col("start")) / F.col("step")).cast("int"))
-    touched = counts.join(spread, same_class).select(
-        "feature", label, "value", "n", "rows", "width", "start", "step", F.explode(F.sequence(first, last)).alias("point")
-    )
-    at = F.col("start") + F.col("point") * F.col("step")
-    z = (at - F.col("value")) / F.col("width")
-    sums = touched.groupBy("feature", label, "point").agg(
-        F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("mass"),
-        F.first("rows").alias("rows"),
-        F.first("width").alias("width"),
-        F.first("start").alias("start"),
-        F.first("step").alias("step"),
+    label_type = dict(rows.dtypes)[label]
+    mass = (
+        counts.join(scales, by)
+        .select(*by, "value", "n", "start", "step", "width")
+        .mapInPandas(_partial_sums(label, grid), f"feature int, `{label}` {label_type}, point int, mass double")
+        .groupBy(*by, "point")
+        .agg(F.sum("mass").alias("mass"))
     )
-    return sums.select(
-        "feature",
-        label,
-        "point",
-        at.alias("at_value"),
-        (F.col("mass") / (F.col("rows") * F.col("width") * math.sqrt(2 * math.pi))).alias("density"),
+    density = F.col("mass") / (F.col("rows") * width * math.sqrt(2 * math.pi))
+    return with_names(
+        mass.join(scales, by).select(
+            *by,
+            "point",
+            (F.col("start") + F.col("point") * F.col("step")).alias("at_value"),
+            density.alias("density"),
+        ),
+        features,
     )

@@ -47,34 +47,28 @@ def with_folds(rows: DataFrame, key: str, folds: int = fixed.FOLDS, seed: int =
     return rows.withColumn("fold", hash_bucket(F.col(key), folds, seed + 1).cast("int"))
 
 
-def _one_row(rows: DataFrame, features: Sequence[str], first, second) -> Column:
-    """The two statistics of each feature as a scalar subquery: one pass, no join."""
-    stats = rows.agg(
+def _with_stats(rows: DataFrame, fit_on: DataFrame, features: Sequence[str], first, second) -> DataFrame:
+    """Add the two statistics of every feature over ``fit_on`` as one struct: a scalar subquery, no join."""
+    stats = fit_on.agg(
         F.struct(
             *[first(observed(F.col(c))).alias(f"a{i}") for i, c in enumerate(features)],
             *[second(observed(F.col(c))).alias(f"b{i}") for i, c in enumerate(features)],
         ).alias("s")
     )
-    return stats.scalar()
+    return rows.withColumn("_stats", stats.scalar())
 
 
 def standardize(rows: DataFrame, features: Sequence[str], fit_on: DataFrame) -> DataFrame:
     """Replace features by z-scores with mean and population deviation of ``fit_on``."""
-    stats = _one_row(fit_on, features, F.avg, F.stddev_pop)
-    return rows.withColumns(
-        {
-            c: z_score(observed(F.col(c)), stats.getField(f"a{i}"), stats.getField(f"b{i}"))
-            for i, c in enumerate(features)
-        }
-    )
+    scaled = {
+        c: z_score(observed(F.col(c)), F.col(f"_stats.a{i}"), F.col(f"_stats.b{i}")) for i, c in enumerate(features)
+    }
+    return _with_stats(rows, fit_on, features, F.avg, F.stddev_pop).withColumns(scaled).drop("_stats")
 
 
 def min_max_scale(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     """Replace features by their position between the column's minimum and maximum."""
-    stats = _one_row(rows, features, F.min, F.max)
-    return rows.withColumns(
-        {
-            c: min_max(observed(F.col(c)), stats.getField(f"a{i}"), stats.getField(f"b{i}"))
-            for i, c in enumerate(features)
-        }
-    )
+    scaled = {
+        c: min_max(observed(F.col(c)), F.col(f"_stats.a{i}"), F.col(f"_stats.b{i}")) for i, c in enumerate(features)
+    }
+    return _with_stats(rows, rows, features, F.min, F.max).withColumns(scaled).drop("_stats")

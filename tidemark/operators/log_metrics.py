@@ -16,6 +16,15 @@ from tidemark.functions import logline
 from tidemark.functions.numbers import utc
 
 
+def parsed_once(rows: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, computed before any filter on them.
+
+    Plain columns would be pushed into the filters as expressions, and each
+    pattern and date would be evaluated twice per line; rows of a generator are not.
+    """
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
+
 def windowed_count(rows: DataFrame, key: str, width: str, watermark: str) -> DataFrame:
     return (
         rows.withWatermark("timestamp", watermark)
@@ -34,7 +43,7 @@ def error_trends(
 ) -> DataFrame:
     """Error lines per window and status. Only error lines move the watermark."""
     errors = parsed.filter(F.col("status").isin(*fixed.ERROR_STATUSES))
-    return windowed_count(errors, "status", width, watermark)
+    return windowed_count(parsed_once(errors, "timestamp", "status"), "status", width, watermark)
 
 
 def popular_products(
@@ -44,7 +53,8 @@ def popular_products(
     threshold: int = fixed.PRODUCT_THRESHOLD,
 ) -> DataFrame:
     """Products requested more than ``threshold`` times in a window."""
-    products = parsed.withColumn("product_id", logline.product_id(F.col("url"))).filter(F.col("product_id") != "")
+    with_id = parsed.withColumn("product_id", logline.product_id(F.col("url")))
+    products = parsed_once(with_id, "timestamp", "product_id").filter(F.col("product_id") != "")
     return windowed_count(products, "product_id", width, watermark).filter(F.col("count") > threshold)
 
 
@@ -55,7 +65,8 @@ def suspicious_ips(
     threshold: int = fixed.CLIENT_THRESHOLD,
 ) -> DataFrame:
     """Clients with more than ``threshold`` requests in a window."""
-    return windowed_count(parsed, "ip", width, watermark).filter(F.col("count") > threshold)
+    requests = parsed_once(parsed, "timestamp", "ip")
+    return windowed_count(requests, "ip", width, watermark).filter(F.col("count") > threshold)
 
 
 LOG_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {

@@ -52,17 +52,34 @@ def tail(rows: DataFrame, key: str, n: int = 100) -> DataFrame:
     return rows.orderBy(F.col(key).desc()).limit(n)
 
 
-def correlation(x: Column, y: Column) -> Column:
+def correlation(x: str, y: str) -> Column:
     """Pearson's r over the rows where both are present; null when either is constant."""
-    x, y = observed(x), observed(y)
-    x_pair, y_pair = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    x_pair = F.when(F.col(y).isNotNull(), F.col(x))
+    y_pair = F.when(F.col(x).isNotNull(), F.col(y))
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x_pair) * F.stddev_pop(y_pair))
 
 
+def pair_correlations(rows: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(pair, corr) with ``pair`` counting through ``pairs``.
+
+    Each row gives one short row per pair, merged at once by the partial
+    aggregate. One aggregate per pair instead would make one row buffer too wide
+    to compile as soon as there are some dozen columns.
+    """
+    names = list(dict.fromkeys(name for pair in pairs for name in pair))
+    values = rows.select(*[observed(F.col(c)).alias(c) for c in names])
+    cells = [F.struct(F.lit(k).alias("pair"), F.col(x).alias("x"), F.col(y).alias("y")) for k, (x, y) in enumerate(pairs)]
+    return values.select(F.inline(F.array(*cells))).groupBy("pair").agg(correlation("x", "y").alias("corr"))
+
+
+def _name(place: Column, names: Sequence[str]) -> Column:
+    return F.get(F.array(*[F.lit(n) for n in names]), place)
+
+
 def target_correlation(rows: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Correlation of each feature with the target, signed and absolute."""
-    each = rows.agg(*[correlation(F.col(f), F.col(target)).alias(f) for f in features])
-    return _long(each, features, "feature", "corr").withColumn("abs_corr", F.abs("corr"))
+    each = pair_correlations(rows, [(f, target) for f in features])
+    return each.select(_name(F.col("pair"), features).alias("feature"), "corr", F.abs("corr").alias("abs_corr"))
 
 
 def top_features(correlations: DataFrame, n: int = fixed.TOP_FEATURES) -> DataFrame:
@@ -84,26 +101,28 @@ def feature_list(correlations: DataFrame) -> list[str]:
 def correlation_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Lower triangle with diagonal, as (row, column, corr) with positions i >= j."""
     cells = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
-    each = rows.agg(*[correlation(F.col(columns[i]), F.col(columns[j])).alias(f"{i}_{j}") for i, j in cells])
-    names = F.array(*[F.lit(c) for c in columns])
-    place = F.split("cell", "_")
-    i, j = place[0].cast("int"), place[1].cast("int")
-    return _long(each, [f"{i}_{j}" for i, j in cells], "cell", "corr").select(
-        i.alias("i"), j.alias("j"), F.get(names, i).alias("row_name"), F.get(names, j).alias("col_name"), "corr"
+    each = pair_correlations(rows, [(columns[i], columns[j]) for i, j in cells])
+    i, j = (F.get(F.array(*[F.lit(cell[k]) for cell in cells]), F.col("pair")) for k in (0, 1))
+    return each.select(
+        i.alias("i"), j.alias("j"), _name(i, columns).alias("row_name"), _name(j, columns).alias("col_name"), "corr"
     )
 
 
 def long_features(rows: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
-    """(kept columns, feature, value) rows with present values only."""
-    doubles = rows.select(*keep, *[observed(F.col(f)).alias(f) for f in features])
-    return doubles.unpivot(list(keep), list(features), "feature", "value").filter(F.col("value").isNotNull())
+    """(kept columns, feature, value) rows with present values only; ``feature`` is the position in the list."""
+    values = F.array(*[observed(F.col(f)) for f in features])
+    return rows.select(*keep, F.posexplode(values).alias("feature", "value")).filter(F.col("value").isNotNull())
+
+
+def with_names(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Replace feature positions by names; done last, so that shuffles carry numbers."""
+    return rows.withColumn("feature", _name(F.col("feature"), features))
 
 
 def feature_value_counts(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Rows per feature, label and distinct value; the common ground of quartiles and densities."""
     return (
-        long_features(rows, features, label)
-        .filter(F.col(label).isNotNull())
+        long_features(rows.filter(F.col(label).isNotNull()), features, label)
         .groupBy("feature", label, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -118,18 +137,19 @@ def class_proportions(
         hits = F.count_if(F.col(label) == c)
         return F.try_divide(F.nullif(hits, F.lit(0).cast("bigint")), F.count(label)).alias(f"share_{c}")
 
-    return (
-        long_features(rows, features, label)
-        .filter(F.col(label).isNotNull())
+    shares = (
+        long_features(rows.filter(F.col(label).isNotNull()), features, label)
         .groupBy("feature", "value")
         .agg(*[share(c) for c in classes])
     )
+    return with_names(shares, features)
 
 
 def class_quartiles(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Quartiles of each feature per class, exact."""
     counts = feature_value_counts(rows, features, label)
-    return quantiles_of_counts(counts, "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["feature", label])
+    quartiles = quantiles_of_counts(counts, "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["feature", label])
+    return with_names(quartiles, features)
 
 
 def class_profile(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
