@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,51 @@ def with_split(
     return rows.withColumn("is_test", hash_bucket(F.col(key), 100, seed) < test_percent)
 
 
+def split_hash(key: Column, seed: int = fixed.SEED) -> Column:
+    """A 60-bit number that depends on key and seed only."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))), 1, 15), 16, 10).cast("bigint")
+
+
+def hash_at_share(rows: DataFrame, key: str, share: float, seed: int = fixed.SEED) -> int:
+    """The hash of rank ceil(share x rows), found by narrowing it 15 bits at a time.
+
+    Each step counts the rows of one bucket in 2^15 smaller ones, so only counts
+    are shuffled and the driver sees at most 2^15 of them. Once a bucket holds few
+    rows its hashes are read instead.
+    """
+    hashes = rows.select(split_hash(F.col(key), seed).alias("h")).filter(F.col("h").isNotNull())
+    bits, few = 15, 10_000
+    prefix, wanted = 0, None
+    for shift in (45, 30, 15, 0):
+        bucket = F.shiftright("h", shift)
+        inside = hashes.filter(F.shiftright("h", shift + bits) == prefix)
+        sizes = sorted((r.bucket, r.n) for r in inside.groupBy(bucket.alias("bucket")).agg(F.count("h").alias("n")).collect())
+        if wanted is None:
+            wanted = math.ceil(share * sum(n for _, n in sizes))
+            if wanted == 0:
+                return -1
+        for prefix, n in sizes:
+            if wanted <= n:
+                break
+            wanted -= n
+        if shift and n <= few:
+            rest = hashes.filter(F.shiftright("h", shift) == prefix).collect()
+            return sorted(r.h for r in rest)[wanted - 1]
+    return prefix
+
+
+def with_exact_split(
+    rows: DataFrame, key: str, test_share: float = fixed.TEST_PERCENT / 100, seed: int = fixed.SEED
+) -> DataFrame:
+    """Mark exactly ceil(test_share x rows) rows as ``is_test``, given unique keys.
+
+    Costs a few passes over the key column and no shuffle of rows. Rows of equal
+    key stay on one side.
+    """
+    last = hash_at_share(rows, key, test_share, seed)
+    return rows.withColumn("is_test", split_hash(F.col(key), seed) <= last)
+
+
 def with_folds(rows: DataFrame, key: str, folds: int = fixed.FOLDS, seed: int = fixed.SEED) -> DataFrame:
     """Fold number per row. The hash knows nothing of the label, so each fold has the same mix of classes."""
     return rows.withColumn("fold", hash_bucket(F.col(key), folds, seed + 1).cast("int"))

@@ -103,6 +103,20 @@ sums AS (SELECT score, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
 UNION ALL SELECT round(score, 9), round(fp / n::DOUBLE, 6), round(tp / p::DOUBLE, 6) FROM sums""",
 )
 def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = evaluate.roc_curve(_rule(spark, sf_dir), drop_intermediate=False)
+    return rounded(rounded(points, "fpr", "tpr"), "threshold", digits=9)
+
+
+@query(
+    "roc_corners",
+    _ROC_SQL
+    + """, marked AS (SELECT *, lead(pos) OVER w AS pos_next, lead(neg) OVER w AS neg_next, row_number() OVER w AS place
+                      FROM sums WINDOW w AS (ORDER BY score DESC))
+SELECT NULL::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL SELECT round(score, 9), round(fp / n::DOUBLE, 6), round(tp / p::DOUBLE, 6) FROM marked
+WHERE place = 1 OR pos_next IS NULL OR pos_next <> pos OR neg_next <> neg""",
+)
+def roc_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = evaluate.roc_curve(_rule(spark, sf_dir))
     return rounded(rounded(points, "fpr", "tpr"), "threshold", digits=9)
 

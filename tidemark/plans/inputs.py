@@ -138,12 +138,17 @@ scored AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS prediction FROM (
   FROM rollup))"""
 
 
-def scored_users(events: DataFrame) -> DataFrame:
-    """A linear rule over event counts per user, in the shape of scored entities."""
+def user_points(events: DataFrame) -> DataFrame:
+    """Event counts per user, with points by a linear rule."""
     counts = event_counts(events, "user_id", "event_type", EVENT_KINDS)
-    raw = F.col("click") * 0.5 + F.col("purchase") * 1.25 - F.col("error") * 0.75 + F.col("view") * 0.125
-    note = clip(raw, 0.0, 20.0)
-    return counts.select(
+    points = F.col("click") * 0.5 + F.col("purchase") * 1.25 - F.col("error") * 0.75 + F.col("view") * 0.125
+    return counts.withColumn("points", points)
+
+
+def scored_users(events: DataFrame) -> DataFrame:
+    """Users scored by their points, in the shape of scored entities."""
+    note = clip(F.col("points"), 0.0, 20.0)
+    return user_points(events).select(
         F.col("user_id").alias("pseudo"),
         note.alias("note"),
         (note >= 10).cast("int").alias("reussite"),

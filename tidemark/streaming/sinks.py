@@ -12,6 +12,9 @@ from tidemark import fixed_values as fixed
 from tidemark.functions.text import utf8
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def epoch_writer(folder: str) -> Callable[[DataFrame, int], None]:
     """Write each non-empty micro-batch to its own epoch folder.
 
@@ -22,8 +25,10 @@ def epoch_writer(folder: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
-            if not batch.isEmpty():
-                batch.write.mode("overwrite").parquet(f"{folder}/epoch_id={epoch_id}")
+            rows = batch.count()
+            if rows:
+                # One state partition would become one small file each.
+                batch.coalesce(rows // ROWS_PER_FILE + 1).write.mode("overwrite").parquet(f"{folder}/epoch_id={epoch_id}")
         finally:
             batch.unpersist()
 
