@@ -204,18 +204,20 @@ def pair_bins(
         if low is None or low == high:
             return F.when(observed(F.col(feature)).isNotNull(), 0)
         place = F.floor((observed(F.col(feature)) - F.lit(low)) / F.lit(high - low) * bins)
-        return F.least(place, F.lit(bins - 1)).cast("int")
+        return F.when(place < bins, place).when(place >= bins, bins - 1).cast("int")
 
     binned = rows.filter(F.col(label).isNotNull()).select(label, *[bin_of(f).alias(f) for f in ranges])
     pairs = F.array(
         *[
-            F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).alias("x_bin"), F.col(y).alias("y_bin"))
+            F.struct(
+                F.lit(x).alias("x_feature"), F.lit(y).alias("y_feature"), F.col(x).alias("x_bin"), F.col(y).alias("y_bin")
+            )
             for x, y in combinations(ranges, 2)
         ]
     )
     return (
         binned.select(label, F.inline(pairs))
         .filter(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
-        .groupBy("x", "y", label, "x_bin", "y_bin")
+        .groupBy("x_feature", "y_feature", label, "x_bin", "y_bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -157,7 +157,7 @@ _BINNED = ("n_lines", "sum_qty", "max_price", "n_returned", "min_price")
     "pair_bins",
     f"WITH {ROLLUP_SQL}, binned AS (SELECT label, {', '.join(_bin_sql(f) for f in _BINNED)} FROM rollup) "
     + " UNION ALL ".join(
-        f"SELECT '{x}' AS x, '{y}' AS y, label, {x} AS x_bin, {y} AS y_bin, count(*) AS n FROM binned GROUP BY ALL"
+        f"SELECT '{x}' AS x_feature, '{y}' AS y_feature, label, {x} AS x_bin, {y} AS y_bin, count(*) AS n FROM binned GROUP BY ALL"
         for x, y in combinations(_BINNED, 2)
     ),
 )

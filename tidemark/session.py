@@ -4,10 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings the operators are made for. On a cluster add spark.checkpoint.dir and a
+# number of shuffle partitions that keeps each below a few hundred MB.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
+def build_session(name: str, settings: Mapping[str, str] | None = None) -> SparkSession:
+    """A session with ``SETTINGS`` and any further ones."""
+    builder = SparkSession.builder.appName(name)
+    for key, value in {**SETTINGS, **(settings or {})}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder from ``spark.checkpoint.dir``; a temporary one only where Spark runs in one process."""
     context = spark.sparkContext

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import fixed_values as fixed
 from tidemark.functions.text import utf8
 
-
 ROWS_PER_FILE = 1_000_000
 
 
@@ -28,7 +27,8 @@ def epoch_writer(folder: str) -> Callable[[DataFrame, int], None]:
             rows = batch.count()
             if rows:
                 # One state partition would become one small file each.
-                batch.coalesce(rows // ROWS_PER_FILE + 1).write.mode("overwrite").parquet(f"{folder}/epoch_id={epoch_id}")
+                files = batch.coalesce(rows // ROWS_PER_FILE + 1)
+                files.write.mode("overwrite").parquet(f"{folder}/epoch_id={epoch_id}")
         finally:
             batch.unpersist()
 
