@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.profile import feature_value_counts, with_names
+from tidemark.session import cut_lineage
 
 # exp(-z*z/2) is exactly 0 in double precision from here on.
 KERNEL_REACH = 38.7
@@ -49,18 +50,21 @@ def class_density(
 ) -> DataFrame:
     """Density on ``grid`` points from ``cut`` bandwidths below the least to above the greatest value.
 
-    Bandwidth is the sample deviation times n^(-1/5). Values are counted first; each
+    Bandwidth is the sample deviation times n^(-1/5). Values are counted and written first; each
     task then turns its share of the distinct values into one row per class,
     feature and point. As bandwidth shrinks with n, large tables visit few points per value.
     """
     by = ["feature", label]
-    counts = feature_value_counts(rows, features, label)
+    counts = cut_lineage(feature_value_counts(rows, features, label), "values")
     totals = counts.groupBy(*by).agg(
         F.sum("n").alias("rows"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
         F.min("value").alias("least"),
         F.max("value").alias("most"),
     )
+    # A row per class and feature: once written, small enough to be sent to the values instead of
+    # gathering the values by class.
+    totals = cut_lineage(totals, "totals")
     # Squares around the known mean: sums of squares of the values themselves would cancel.
     squares = F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2))
     deviation = F.sqrt(F.try_divide(squares, F.col("rows") - 1))
@@ -78,6 +82,7 @@ def class_density(
             ((F.col("most") - F.col("least") + 2 * cut * width) / (grid - 1)).alias("step"),
         )
     )
+    scales = cut_lineage(scales, "scales")
     label_type = dict(rows.dtypes)[label]
     mass = (
         counts.join(scales, by)

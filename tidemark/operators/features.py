@@ -93,23 +93,28 @@ def with_folds(rows: DataFrame, key: str, folds: int = fixed.FOLDS, seed: int =
     return rows.withColumn("fold", hash_bucket(F.col(key), folds, seed + 1).cast("int"))
 
 
-def _with_stats(rows: DataFrame, fit_on: DataFrame, features: Sequence[str], first, second) -> DataFrame:
-    """Add the two statistics of every feature over ``fit_on`` as one struct: a scalar subquery, no join."""
-    stats = fit_on.agg(
+def _with_stats(rows: DataFrame, features: Sequence[str], first, second, fit_on: Column) -> DataFrame:
+    """Add the two statistics of every feature as one struct: a scalar subquery, no join.
+
+    ``fit_on`` chooses the rows inside the aggregate. As a filter it would move
+    below whatever made the rows, and the two uses could not share that work.
+    """
+    chosen = [F.when(fit_on, observed(F.col(c))) for c in features]
+    stats = rows.agg(
         F.struct(
-            *[first(observed(F.col(c))).alias(f"a{i}") for i, c in enumerate(features)],
-            *[second(observed(F.col(c))).alias(f"b{i}") for i, c in enumerate(features)],
+            *[first(x).alias(f"a{i}") for i, x in enumerate(chosen)],
+            *[second(x).alias(f"b{i}") for i, x in enumerate(chosen)],
         ).alias("s")
     )
     return rows.withColumn("_stats", stats.scalar())
 
 
-def standardize(rows: DataFrame, features: Sequence[str], fit_on: DataFrame) -> DataFrame:
-    """Replace features by z-scores with mean and population deviation of ``fit_on``."""
+def standardize(rows: DataFrame, features: Sequence[str], fit_on: Column) -> DataFrame:
+    """Replace features by z-scores with mean and population deviation of the rows where ``fit_on`` holds."""
     scaled = {
         c: z_score(observed(F.col(c)), F.col(f"_stats.a{i}"), F.col(f"_stats.b{i}")) for i, c in enumerate(features)
     }
-    return _with_stats(rows, fit_on, features, F.avg, F.stddev_pop).withColumns(scaled).drop("_stats")
+    return _with_stats(rows, features, F.avg, F.stddev_pop, fit_on).withColumns(scaled).drop("_stats")
 
 
 def min_max_scale(rows: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -117,4 +122,4 @@ def min_max_scale(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     scaled = {
         c: min_max(observed(F.col(c)), F.col(f"_stats.a{i}"), F.col(f"_stats.b{i}")) for i, c in enumerate(features)
     }
-    return _with_stats(rows, rows, features, F.min, F.max).withColumns(scaled).drop("_stats")
+    return _with_stats(rows, features, F.min, F.max, F.lit(True)).withColumns(scaled).drop("_stats")

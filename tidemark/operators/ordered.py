@@ -21,11 +21,12 @@ def _slices(rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str],
 
     That is the sums of all earlier slices (``_<c>_before``), of the own one
     (``_<c>_here``) and of all, and the first values of the next one (``_<c>_after``).
-    Slice bounds are sampled, hence the slices are written once. The facts per slice
-    are a small table: a row per slice, and one more per group.
+    Slice bounds are sampled, hence the slices are written once, a folder each, so that
+    those not asked for are never read. The facts per slice are a small table: a row
+    per slice, and one more per group.
     """
     spread = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *by, _order(order, descending))
-    slices = cut_lineage(spread.withColumn("_slice", F.spark_partition_id()), "slices")
+    slices = cut_lineage(spread.withColumn("_slice", F.spark_partition_id()), "slices", folder_per="_slice")
 
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
@@ -45,8 +46,8 @@ def _slices(rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str],
     same = F.col("_slice") == F.col("_offset_slice")
     for c in by:
         same = same & (F.col(c) == F.col(f"_by_{c}"))
-    if not by:
-        offsets = F.broadcast(offsets)  # a row per slice
+    # Without groups there is exactly a row per slice; with groups the written size decides.
+    offsets = cut_lineage(offsets, "offsets") if by else F.broadcast(offsets)
     return slices.join(offsets, same)
 
 

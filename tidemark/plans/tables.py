@@ -115,7 +115,7 @@ SELECT l_orderkey, is_test, """
 )
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features.with_split(order_rollup(table(spark, sf_dir, "lineitem")), "l_orderkey")
-    scaled = features.standardize(rows, ROLLUP_FEATURES, rows.filter(~F.col("is_test")))
+    scaled = features.standardize(rows, ROLLUP_FEATURES, ~F.col("is_test"))
     result = rounded(scaled.select("l_orderkey", "is_test", *ROLLUP_FEATURES), *ROLLUP_FEATURES)
     return result.withColumns({f: F.col(f) + 0.0 for f in ROLLUP_FEATURES})
 

@@ -50,10 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
-    """``df`` as a table written to the shared folder, so that lost executors cannot change its rows."""
+def cut_lineage(df: DataFrame, name: str, folder_per: str | None = None) -> DataFrame:
+    """``df`` as a table written to the shared folder, so that lost executors cannot change its rows.
+
+    The planner sees its true size, so a small one is broadcast and a large one is not.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(folder_per) if folder_per else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
