@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.profile import feature_value_counts, with_names
 from tidemark.session import cut_lineage
 
+# Send the functions themselves to the workers, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # exp(-z*z/2) is exactly 0 in double precision from here on.
 KERNEL_REACH = 38.7
 
@@ -20,13 +25,16 @@ KERNEL_REACH = 38.7
 def kernel_sums(values: np.ndarray, counts: np.ndarray, points: np.ndarray, width: float) -> np.ndarray:
     """Sum of counted kernels at each point; only values in reach of a point are visited."""
     order = np.argsort(values)
-    values, counts = values[order], counts[order]
-    first = np.searchsorted(values, points - KERNEL_REACH * width)
-    last = np.searchsorted(values, points + KERNEL_REACH * width, side="right")
+    scaled, counts, points = values[order] / width, counts[order], points / width
+    first = np.searchsorted(scaled, points - KERNEL_REACH)
+    last = np.searchsorted(scaled, points + KERNEL_REACH, side="right")
     sums = np.empty(len(points))
     for i, point in enumerate(points):
-        z = (values[first[i] : last[i]] - point) / width
-        sums[i] = np.dot(counts[first[i] : last[i]], np.exp(-0.5 * z * z))
+        z = scaled[first[i] : last[i]] - point
+        z *= z
+        z *= -0.5
+        np.exp(z, out=z)
+        sums[i] = np.dot(counts[first[i] : last[i]], z)
     return sums
 
 

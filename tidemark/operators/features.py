@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.numbers import min_max, observed, ratio, z_score
+from tidemark.operators.common import computed_once
 
 
 def event_counts(events: DataFrame, entity: str, event: str, features: Sequence[str]) -> DataFrame:
@@ -55,12 +56,12 @@ def hash_at_share(rows: DataFrame, key: str, share: float, seed: int = fixed.SEE
     are shuffled and the driver sees at most 2^15 of them. Once a bucket holds few
     rows its hashes are read instead.
     """
-    hashes = rows.select(split_hash(F.col(key), seed).alias("h")).filter(F.col("h").isNotNull())
+    hashes = computed_once(rows, split_hash(F.col(key), seed).alias("h")).filter(F.col("h").isNotNull())
     bits, few = 15, 10_000
     prefix, wanted = 0, None
     for shift in (45, 30, 15, 0):
         bucket = F.shiftright("h", shift)
-        inside = hashes.filter(F.shiftright("h", shift + bits) == prefix)
+        inside = hashes if wanted is None else hashes.filter(F.shiftright("h", shift + bits) == prefix)
         sizes = sorted((r.bucket, r.n) for r in inside.groupBy(bucket.alias("bucket")).agg(F.count("h").alias("n")).collect())
         if wanted is None:
             wanted = math.ceil(share * sum(n for _, n in sizes))

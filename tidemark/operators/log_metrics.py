@@ -14,15 +14,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 from tidemark.functions import logline
 from tidemark.functions.numbers import utc
-
-
-def parsed_once(rows: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, computed before any filter on them.
-
-    Plain columns would be pushed into the filters as expressions, and each
-    pattern and date would be evaluated twice per line; rows of a generator are not.
-    """
-    return rows.select(F.inline(F.array(F.struct(*columns))))
+from tidemark.operators.common import computed_once
 
 
 def windowed_count(rows: DataFrame, key: str, width: str, watermark: str) -> DataFrame:
@@ -43,7 +35,7 @@ def error_trends(
 ) -> DataFrame:
     """Error lines per window and status. Only error lines move the watermark."""
     errors = parsed.filter(F.col("status").isin(*fixed.ERROR_STATUSES))
-    return windowed_count(parsed_once(errors, "timestamp", "status"), "status", width, watermark)
+    return windowed_count(computed_once(errors, "timestamp", "status"), "status", width, watermark)
 
 
 def popular_products(
@@ -54,7 +46,7 @@ def popular_products(
 ) -> DataFrame:
     """Products requested more than ``threshold`` times in a window."""
     with_id = parsed.withColumn("product_id", logline.product_id(F.col("url")))
-    products = parsed_once(with_id, "timestamp", "product_id").filter(F.col("product_id") != "")
+    products = computed_once(with_id, "timestamp", "product_id").filter(F.col("product_id") != "")
     return windowed_count(products, "product_id", width, watermark).filter(F.col("count") > threshold)
 
 
@@ -65,7 +57,7 @@ def suspicious_ips(
     threshold: int = fixed.CLIENT_THRESHOLD,
 ) -> DataFrame:
     """Clients with more than ``threshold`` requests in a window."""
-    requests = parsed_once(parsed, "timestamp", "ip")
+    requests = computed_once(parsed, "timestamp", "ip")
     return windowed_count(requests, "ip", width, watermark).filter(F.col("count") > threshold)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.numbers import min_max, observed
+from tidemark.operators.correlate import pair_correlations
 from tidemark.operators.ordered import quantiles_of_counts
 
 
@@ -52,26 +53,6 @@ def tail(rows: DataFrame, key: str, n: int = 100) -> DataFrame:
     return rows.orderBy(F.col(key).desc()).limit(n)
 
 
-def correlation(x: str, y: str) -> Column:
-    """Pearson's r over the rows where both are present; null when either is constant."""
-    x_pair = F.when(F.col(y).isNotNull(), F.col(x))
-    y_pair = F.when(F.col(x).isNotNull(), F.col(y))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x_pair) * F.stddev_pop(y_pair))
-
-
-def pair_correlations(rows: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(pair, corr) with ``pair`` counting through ``pairs``.
-
-    Each row gives one short row per pair, merged at once by the partial
-    aggregate. One aggregate per pair instead would make one row buffer too wide
-    to compile as soon as there are some dozen columns.
-    """
-    names = list(dict.fromkeys(name for pair in pairs for name in pair))
-    values = rows.select(*[observed(F.col(c)).alias(c) for c in names])
-    cells = [F.struct(F.lit(k).alias("pair"), F.col(x).alias("x"), F.col(y).alias("y")) for k, (x, y) in enumerate(pairs)]
-    return values.select(F.inline(F.array(*cells))).groupBy("pair").agg(correlation("x", "y").alias("corr"))
-
-
 def _name(place: Column, names: Sequence[str]) -> Column:
     return F.get(F.array(*[F.lit(n) for n in names]), place)
 
