@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import observed
-from tidemark.session import cut_lineage, shuffle_partitions
+from tidemark.session import cut_lineage
 
 
 def _order(column: str, descending: bool) -> Column:
@@ -25,7 +25,8 @@ def _slices(rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str],
     those not asked for are never read. The facts per slice are a small table: a row
     per slice, and one more per group.
     """
-    spread = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *by, _order(order, descending))
+    # No number of slices is given, so that adaptive execution can join small neighbours.
+    spread = rows.repartitionByRange(*by, _order(order, descending))
     slices = cut_lineage(spread.withColumn("_slice", F.spark_partition_id()), "slices", folder_per="_slice")
 
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

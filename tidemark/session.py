@@ -58,7 +58,3 @@ def cut_lineage(df: DataFrame, name: str, folder_per: str | None = None) -> Data
     path = scratch_path(df.sparkSession, name)
     (df.write.partitionBy(folder_per) if folder_per else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
