@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import density, profile
 from tidemark.plans.inputs import ROLLUP_FEATURES, ROLLUP_SQL, order_rollup, rounded, table
 from tidemark.plans.registry import query
+from tidemark.session import cut_lineage
 
 # The six strongest features at every scale of the driver tables, strongest first.
 TOP = ("n_lines", "sum_qty", "max_price", "n_returned", "min_price", "avg_tax")
@@ -53,8 +54,10 @@ def selected_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {ROLLUP_SQL} SELECT l_orderkey, label, n_lines, sum_qty, max_price, n_returned FROM rollup",
 )
 def project_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = profile.feature_list(profile.selected_features(_correlations(spark, sf_dir)))
-    return _rollup(spark, sf_dir).select("l_orderkey", "label", *names)
+    rollup = cut_lineage(_rollup(spark, sf_dir), "rollup")
+    correlations = profile.target_correlation(rollup, ROLLUP_FEATURES, "label")
+    names = profile.feature_list(profile.selected_features(correlations))
+    return rollup.select("l_orderkey", "label", *names)
 
 
 _MATRIX = (*TOP, "label")
@@ -162,5 +165,5 @@ _BINNED = ("n_lines", "sum_qty", "max_price", "n_returned", "min_price")
     ),
 )
 def pair_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = _rollup(spark, sf_dir)
+    rollup = cut_lineage(_rollup(spark, sf_dir).select("label", *_BINNED), "rollup")
     return profile.pair_bins(rollup, profile.column_ranges(rollup, _BINNED), "label", BINS)
