@@ -62,7 +62,8 @@ def hash_at_share(rows: DataFrame, key: str, share: float, seed: int = fixed.SEE
     for shift in (45, 30, 15, 0):
         bucket = F.shiftright("h", shift)
         inside = hashes if wanted is None else hashes.filter(F.shiftright("h", shift + bits) == prefix)
-        sizes = sorted((r.bucket, r.n) for r in inside.groupBy(bucket.alias("bucket")).agg(F.count("h").alias("n")).collect())
+        counts = inside.groupBy(bucket.alias("bucket")).agg(F.count("h").alias("n"))
+        sizes = sorted((r.bucket, r.n) for r in counts.collect())
         if wanted is None:
             wanted = math.ceil(share * sum(n for _, n in sizes))
             if wanted == 0:

@@ -121,7 +121,10 @@ def roc_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(points, "fpr", "tpr"), "threshold", digits=9)
 
 
-@query("roc_auc", _ROC_SQL + " SELECT round(sum(neg * (tp - pos / 2.0::DOUBLE)) / (max(p) * max(n)::DOUBLE), 6) AS roc_auc FROM sums")
+@query(
+    "roc_auc",
+    _ROC_SQL + " SELECT round(sum(neg * (tp - pos / 2.0::DOUBLE)) / (max(p) * max(n)::DOUBLE), 6) AS roc_auc FROM sums",
+)
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate.roc_auc(_rule(spark, sf_dir)), "roc_auc")
 

@@ -25,7 +25,8 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "scan_by_format",
-    "SELECT f AS file_format, c_custkey, c_name, c_acctbal FROM customer, (VALUES ('csv'), ('json'), ('parquet'), ('orc')) AS v(f)",
+    """SELECT f AS file_format, c_custkey, c_name, c_acctbal
+       FROM customer, (VALUES ('csv'), ('json'), ('parquet'), ('orc')) AS v(f)""",
 )
 def scan_by_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")

@@ -6,7 +6,6 @@ import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators import density, profile
 from tidemark.plans.inputs import ROLLUP_FEATURES, ROLLUP_SQL, order_rollup, rounded, table
@@ -129,8 +128,8 @@ stats AS (SELECT feature, label, count(*) AS rows, stddev_samp(value) * pow(coun
 points AS (SELECT *, lo - {cut} * width + point * ((hi - lo + 2 * {cut} * width) / {grid - 1}) AS at_value
            FROM stats, (SELECT CAST(unnest(range({grid})) AS INTEGER) AS point) WHERE width > 0)
 SELECT feature, label, point, round(any_value(at_value), 6) AS at_value,
-       round(sum(n * exp(-0.5 * pow((at_value - value) / width, 2))) / (any_value(rows) * any_value(width) * {math.sqrt(2 * math.pi)!r}), 6)
-         AS density
+       round(sum(n * exp(-0.5 * pow((at_value - value) / width, 2)))
+             / (any_value(rows) * any_value(width) * {math.sqrt(2 * math.pi)!r}), 6) AS density
 FROM points JOIN counts USING (feature, label) GROUP BY feature, label, point"""
 
 
@@ -160,7 +159,8 @@ _BINNED = ("n_lines", "sum_qty", "max_price", "n_returned", "min_price")
     "pair_bins",
     f"WITH {ROLLUP_SQL}, binned AS (SELECT label, {', '.join(_bin_sql(f) for f in _BINNED)} FROM rollup) "
     + " UNION ALL ".join(
-        f"SELECT '{x}' AS x_feature, '{y}' AS y_feature, label, {x} AS x_bin, {y} AS y_bin, count(*) AS n FROM binned GROUP BY ALL"
+        f"SELECT '{x}' AS x_feature, '{y}' AS y_feature, label, {x} AS x_bin, {y} AS y_bin, count(*) AS n "
+        "FROM binned GROUP BY ALL"
         for x, y in combinations(_BINNED, 2)
     ),
 )

@@ -93,7 +93,8 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "exact_split",
-    """WITH h AS (SELECT event_id, CAST(concat('0x', substr(md5(concat('42:', event_id)), 1, 15)) AS BIGINT) AS h FROM events)
+    """WITH h AS (SELECT event_id, CAST(concat('0x', substr(md5(concat('42:', event_id)), 1, 15)) AS BIGINT) AS h
+           FROM events)
 SELECT event_id, row_number() OVER (ORDER BY h) <= ceil(0.2::DOUBLE * count(*) OVER ()) AS is_test FROM h""",
 )
 def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
