@@ -10,6 +10,8 @@ Spark counts the classes, ranks the pieces in slices of a class, and joins each
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -33,22 +36,53 @@ MEMORY_WORDS = 1 << 19
 MEMORY_LENGTH = 48
 
 
+# White space next to a space, where the tokenizer looks across the space.
+_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
+_ASCII_PAIRS = [pair for c in _WHITE if c.isascii() for pair in {" " + c, c + " "}]
+_OTHER_PAIRS = [pair for c in _WHITE if not c.isascii() for pair in (" " + c, c + " ")]
+# Words of these letters, with one of these marks behind at most, are split alike by every version of the pattern.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[,.;:!?]?")
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next free one."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class _Encoder(dict):
     """Ids of a word with the space before it, remembered.
 
     The tokenizer splits at white space and never joins what lies on both sides of it, except that one space goes
     with the word after it; so the ids of a text without double white space are those of its words in order.
+    A plain new word is merged by a faster library from the same vocabulary, if its merges are in order of id.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.merge = self._merger(path)
+
+    def _merger(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocabulary, letters = model["vocab"], _byte_letters()
+        pairs = ("".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model.get("merges", ()))
+        if any(vocabulary.get(pair) != 256 + i for i, pair in enumerate(pairs)):
+            return None
+        special = set(self.special)
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+        return tiktoken.Encoding("words", pat_str=r" ?\p{L}+|[^\p{L}]", mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        found = self.ids(" " + word)
+        if self.merge is not None and _PLAIN.fullmatch(word):
+            found = np.asarray(self.merge.encode_ordinary(" " + word), dtype="<u4").tobytes()
+        else:
+            found = self.ids(" " + word)
         if len(word) <= MEMORY_LENGTH:
             if len(self) >= MEMORY_WORDS:
                 self.clear()
@@ -56,10 +90,10 @@ class _Encoder(dict):
         return found
 
     def text(self, text: str) -> bytes:
-        words = text.split(" ")
-        # white space next to a space, and special tokens, may join words
-        if "" in words or any(w[0].isspace() or w[-1].isspace() for w in words) or any(t in text for t in self.special):
+        unsafe = any(pair in text for pair in _ASCII_PAIRS) or any(t in text for t in self.special)
+        if unsafe or (not text.isascii() and any(pair in text for pair in _OTHER_PAIRS)):
             return self.ids(text)
+        words = text.split(" ")
         return self.ids(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
 

@@ -4,23 +4,122 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import minhash
+from tidemark.llm import minhash, packing, pii, substring, url_filter
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+URL_RULES = [
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+]
+# Words of host names whose hosts make up the block list.
+BLOCKED_WORDS = ["adult", "ads", "bets", "casino", "pills", "spam"]
+
+
+def op1_bloom_cascade_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, URL_RULES, url_filter.domains_with_words(pages, BLOCKED_WORDS))
+
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, similarity="17/20")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def _listed(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op9_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(k) for k in pii.KINDS],
+        F.sha2(_listed("base"), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
+def op10_de_bruijn_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_bloom_cascade_url_filter,
         op3_minhash_near_dedup,
+        op7_best_fit_packing,
+        op9_weak_supervision_pii,
+        op10_de_bruijn_substring_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_bloom_cascade_url_filter": """
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+                       THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+rules(rhost, rpath, rverdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+         ('org', '/fr/', 'allow')),
+judged AS (
+  SELECT page_id, host, path,
+         len(list_filter(regexp_split_to_array(host, '[.-]'),
+             x -> x IN ('adult', 'ads', 'bets', 'casino', 'pills', 'spam'))) > 0 AS listed,
+         (SELECT max_by(struct_pack(rule := rhost || rpath, verdict := rverdict), length(rhost || rpath)) FROM rules
+          WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best
+  FROM split)
+SELECT page_id, host, path, best.rule AS rule,
+       coalesce(best.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed FROM judged""",
+    "op3_minhash_near_dedup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, seen) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.seen FROM reach r JOIN edges e ON e.a = r.node),
+best AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN best ON best.node = d.doc_id""",
+    "op10_de_bruijn_substring_dedup": r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM words WHERE len(w) >= 50),
+wins AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h FROM spots),
+firsts AS (SELECT h, min(doc_id) AS lo FROM wins GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, p + k AS i FROM (SELECT doc_id, p FROM wins JOIN firsts USING (h) WHERE doc_id > lo), range(50) t(k)),
+places AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(array_to_string(list_filter(w, (x, i) -> NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
+FROM words LEFT JOIN places USING (doc_id)""",
+}
