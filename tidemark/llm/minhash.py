@@ -22,6 +22,9 @@ from tidemark.session import cut_lineage
 # Minhashes per part, and the chance to miss a pair that is just similar enough.
 PART = 3
 MISS = 1e-5
+# Documents that make a block of neighbours, and pairs that are confirmed together.
+BLOCK = 128
+GROUP_PAIRS = 2000
 
 
 def parts_needed(similarity: float, part: int = PART, miss: float = MISS) -> int:
@@ -80,25 +83,24 @@ def _signatures(size: int, m: int, part: int):
 
 
 def _confirm(size: int, times: int, least: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            left, right = as_list(batch["text_a"]), as_list(batch["text_b"])
-            a, b = batch["a"].to_numpy(), batch["b"].to_numpy()
-            keep = np.zeros(len(batch), dtype=bool)
-            for lo, hi in steps([(x or "") + (y or "") for x, y in zip(left, right, strict=True)]):
-                texts = list(dict.fromkeys(left[lo:hi] + right[lo:hi]))
-                place = {t: i for i, t in enumerate(texts)}
-                words = Words(texts, lower=True)
-                sets: dict[int, np.ndarray] = {}
-                for i in range(lo, hi):
-                    x, y = place[left[i]], place[right[i]]
-                    for z in (x, y):
-                        if z not in sets:
-                            sets[z] = shingles(words, z, size)
-                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                    union = len(sets[x]) + len(sets[y]) - both
-                    keep[i] = union > 0 and times * both >= least * union
-            yield pd.DataFrame({"a": a[keep], "b": b[keep]})
+    """Of the pairs of a group, those that are similar enough; the group has each text once."""
+
+    def run(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        sets: dict[int, list[np.ndarray]] = {}
+        held = as_list(texts["text"])
+        for lo, hi in steps(held):
+            words = Words(held[lo:hi], lower=True)
+            for i in range(lo, hi):
+                sets.setdefault(int(texts["id"].iloc[i]), []).append(shingles(words, i - lo, size))
+        a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
+        keep = np.zeros(len(pairs), dtype=bool)
+        for i in range(len(pairs)):
+            for x in sets.get(int(a[i]), ()):
+                for y in sets.get(int(b[i]), ()):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    union = len(x) + len(y) - both
+                    keep[i] |= union > 0 and times * both >= least * union
+        return pd.DataFrame({"a": a[keep], "b": b[keep]})
 
     return run
 
@@ -115,7 +117,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: Fraction | str =
     is null and it is kept. Empty input gives no rows. Other columns are ignored.
 
     Documents with equal sets are one class and meet the tables once. In each bucket every class is compared with
-    the smallest one; then, until no bucket holds two components, the members outside a bucket's largest
+    the smallest one, then with a drawn one of another component; at last all members outside a bucket's largest
     component are compared with all others of it that are not yet connected. No bucket or partner is capped.
     """
     similarity = Fraction(similarity)
@@ -165,64 +167,72 @@ def _buckets(classes: DataFrame, m: int) -> DataFrame:
     return keys.join(centers.select("key", "center"), "key")
 
 
+def _blocks(buckets: DataFrame) -> DataFrame:
+    """``id``, ``block``: at most about ``BLOCK`` documents that share the smallest center they meet."""
+    homes = buckets.groupBy("id").agg(F.min("center").alias("home"))
+    sizes = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("slices"))
+    slot = F.pmod(F.xxhash64("id"), F.col("slices"))
+    return homes.join(sizes, "home").select("id", F.xxhash64("home", slot).alias("block"))
+
+
 def _links(classes: DataFrame, rows: DataFrame, size: int, similarity: Fraction, m: int) -> DataFrame:
     buckets = cut_lineage(_buckets(classes, m), "buckets")
+    members_in_all = buckets.count()
     wanted = buckets.select("id").distinct()
-    texts = cut_lineage(
-        rows.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts"
-    )
-    sizes = cut_lineage(classes.join(wanted, "id").groupBy("id").agg(F.max("n_shingles").alias("n")), "sizes")
-    spark = rows.sparkSession
+    texts = rows.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "text")
+    texts = cut_lineage(texts, "texts")
+    sizes = classes.groupBy("id").agg(F.max("n_shingles").alias("n"))
+    places = cut_lineage(_blocks(buckets).join(sizes, "id"), "places")
     top, bottom = similarity.numerator, similarity.denominator
 
     def confirmed(pairs: DataFrame) -> DataFrame:
+        """Links among distinct pairs. A text goes once to each group of pairs that needs it, not to each pair."""
         n_a, n_b = F.col("n_a"), F.col("n_b")
         possible = (
-            pairs.join(sizes.toDF("a", "n_a"), "a")
-            .join(sizes.toDF("b", "n_b"), "b")
+            pairs.join(places.toDF("a", "block_a", "n_a"), "a")
+            .join(places.toDF("b", "block_b", "n_b"), "b")
             .where(F.least(n_a, n_b) * bottom >= F.greatest(n_a, n_b) * top)
-            .select("a", "b")
         )
-        with_b = possible.join(texts.toDF("b", "text_b"), "b")
-        whole = with_b.join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
-        return whole.mapInPandas(_confirm(size, bottom, top), "a bigint, b bigint").distinct()
+        possible = cut_lineage(possible.select("a", "b", F.xxhash64("block_a", "block_b").alias("cell")), "possible")
+        groups = 1 + possible.count() // GROUP_PAIRS
+        grouped = possible.select("a", "b", F.pmod("cell", F.lit(groups)).alias("cell"))
+        needed = grouped.select("cell", F.explode(F.array("a", "b")).alias("id")).distinct()
+        needed = needed.join(texts, "id").toDF("id", "cell", "text")
+        found = needed.groupBy("cell").cogroup(grouped.toDF("a", "b", "of").groupBy("of"))
+        return found.applyInPandas(_confirm(size, bottom, top), "a bigint, b bigint")
 
     pairs = buckets.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     tried = cut_lineage(pairs, "pairs")
     links = cut_lineage(confirmed(tried), "links")
-    exact = False
+    turn, last = 0, False
     while True:
+        turn += 1
         labels = components(links).toDF("id", "component")
         known = buckets.select("key", "id").join(labels, "id", "left")
         known = known.select("key", "id", F.coalesce("component", "id").alias("component"))
         mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        open_keys = mixed.where("lo < hi").select("key")
-        members = cut_lineage(known.join(open_keys, "key"), "open")
+        members = cut_lineage(known.join(mixed.where("lo < hi").select("key"), "key"), "open")
         shares = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         heads = shares.groupBy("key").agg(
             F.max(F.struct("n", "component")).getField("component").alias("head"), F.sum("n").alias("size")
         )
-        heads = cut_lineage(heads, "heads")
         outside = members.join(heads, "key").where("component <> head")
-        work, plain = outside.agg(F.sum("size"), F.count(F.lit(1))).first()
+        work = outside.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         if not work:
             return links
-        exact = exact or work <= 8 * buckets.count()
-        if exact:
+        last = last or (turn > 1 and work <= 4 * members_in_all)
+        if last:
             # all members outside the largest component against all that are not connected with them
             seeds = outside.select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
         else:
-            # one more member of each bucket against the others
-            first = outside.groupBy("key").agg(F.min(F.struct("id", "component")).alias("s"))
-            seeds = first.select("key", F.col("s.id").alias("x"), F.col("s.component").alias("cx"))
+            # one member of each bucket against the others, another one in each bucket of a family
+            drawn = F.struct(F.xxhash64("id", "key", F.lit(turn)), F.col("id").alias("x"), F.col("component").alias("cx"))
+            seeds = members.groupBy("key").agg(F.min(drawn).alias("s")).select("key", "s.x", "s.cx")
         pairs = seeds.join(members, "key").where("cx <> component")
         pairs = pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
         fresh = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = cut_lineage(confirmed(fresh), "links")
-        if more.isEmpty():
-            if exact:
-                return links
-            exact = True
         links, tried = links.union(more), tried.union(fresh)
-        if exact and not more.isEmpty():
+        if last:
             return links
+        last = more.isEmpty()

@@ -84,7 +84,7 @@ rules(rhost, rpath, rverdict) AS (
 judged AS (
   SELECT page_id, host, path,
          len(list_filter(regexp_split_to_array(host, '[.-]'),
-             x -> x IN ('adult', 'ads', 'bets', 'casino', 'pills', 'spam'))) > 0 AS listed,
+             lambda x: x IN ('adult', 'ads', 'bets', 'casino', 'pills', 'spam'))) > 0 AS listed,
          (SELECT max_by(struct_pack(rule := rhost || rpath, verdict := rverdict), length(rhost || rpath)) FROM rules
           WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best
   FROM split)
@@ -97,7 +97,7 @@ WITH RECURSIVE words AS (
 shingles AS (
   SELECT DISTINCT doc_id, s FROM (
     SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-      ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words)),
+      ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
@@ -120,6 +120,6 @@ gone AS (
   SELECT DISTINCT doc_id, p + k AS i FROM (SELECT doc_id, p FROM wins JOIN firsts USING (h) WHERE doc_id > lo), range(50) t(k)),
 places AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
-       sha256(array_to_string(list_filter(w, (x, i) -> NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
 FROM words LEFT JOIN places USING (doc_id)""",
 }
