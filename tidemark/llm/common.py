@@ -15,6 +15,9 @@ from tidemark.session import cut_lineage
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+# For comparisons that overlook punctuation: every ASCII byte but letters and digits.
+_MARKS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
+
 # Bytes of text that one vectorised step holds; a longer document is a step of its own.
 STEP_BYTES = 2 << 20
 
@@ -53,15 +56,16 @@ def join_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Words:
     """The words of several texts: 64-bit hashes in order, and where each text's words begin.
 
-    A word is a longest run of bytes other than the six white-space ones. ``None`` has no words.
+    A word is a longest run of bytes other than the six white-space ones; with ``marks`` ASCII punctuation
+    separates words too. ``None`` has no words.
     """
 
-    def __init__(self, texts: Sequence[str | None], lower: bool = False, seed: int = 1, spans: bool = False):
+    def __init__(self, texts: Sequence[str | None], lower: bool = False, seed: int = 1, marks: bool = False):
         blobs = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
         data = b"\n".join(blobs) + b"\n"
         # bytes.lower() changes A-Z only
         buf = np.frombuffer(data.lower() if lower else data, dtype=np.uint8)
-        space = _SPACE[buf]
+        space = (_MARKS if marks else _SPACE)[buf]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if len(buf) and not space[0]:
             edge = np.concatenate([[0], edge])
@@ -77,8 +81,6 @@ class Words:
             letters = stream(seed, 256)[buf[~space]]
             letters *= _powers(seed, int(lengths.max()))[place]
             self.hashes = mix(np.add.reduceat(letters, at) + lengths.astype(np.uint64))
-        if spans:
-            self.data, self.starts, self.ends, self.bounds = data, starts, ends, bounds
 
     def count(self, i: int) -> int:
         return int(self.first[i + 1] - self.first[i])

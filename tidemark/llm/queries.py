@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, packing, pii, substring, url_filter
+from tidemark.llm import chat, decontaminate, html, minhash, packing, pii, quality, substring, topk, url_filter
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,14 +27,45 @@ def op1_bloom_cascade_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, url_filter.domains_with_words(pages, BLOCKED_WORDS))
 
 
+def op2_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "n_units", F.round("perplexity", 6).alias("perplexity"), "threshold", "kept")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, similarity="17/20")
 
 
+def _ranges(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(spans)
+
+
+def op4_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    chosen = conversations.withColumnRenamed("conv_id", "pair_id")
+    pairs = chat.preference_pairs(chosen, chat.with_other_answers(conversations))
+    return pairs.select("pair_id", "n_common", "prompt", "chosen", "rejected", _ranges("chosen_mask"), _ranges("rejected_mask"))
+
+
+def op5_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors)
+
+
+def op6_site_style_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op8_latent_semantic_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", "contaminated", "item_ids", F.round("share", 6).alias("share"))
+
+
 def _listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -62,8 +93,13 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_bloom_cascade_url_filter,
+        op2_kneser_ney_quality,
         op3_minhash_near_dedup,
+        op4_preference_formatting,
+        op5_dual_tree_top_k,
+        op6_site_style_tree_text,
         op7_best_fit_packing,
+        op8_latent_semantic_decontamination,
         op9_weak_supervision_pii,
         op10_de_bruijn_substring_dedup,
     )
@@ -122,4 +158,49 @@ places AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
        sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
 FROM words LEFT JOIN places USING (doc_id)""",
+    "op4_preference_formatting": """
+WITH answers AS (
+  SELECT conv_id, max(struct_pack(turn := turn, "text" := text)) AS last FROM conversations WHERE role = 'assistant'
+  GROUP BY conv_id),
+known AS (
+  SELECT a.conv_id, a.last.turn AS spot, b.last.text AS other FROM answers a JOIN answers b ON b.conv_id = a.conv_id + 1),
+other AS (
+  SELECT conv_id, turn, role, text FROM conversations JOIN known USING (conv_id) WHERE turn < spot OR turn IS NULL
+  UNION ALL SELECT conv_id, spot, 'assistant', other FROM known),
+marked AS (
+  SELECT 'c' AS side, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT 'r', conv_id, turn, coalesce(role, ''), coalesce(text, '') FROM other),
+sides AS (
+  SELECT conv_id,
+    coalesce(list(struct_pack(role := role, "text" := text) ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE side = 'c'), []) AS c,
+    coalesce(list(struct_pack(role := role, "text" := text) ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE side = 'r'), []) AS r
+  FROM marked WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (
+  SELECT *, CAST(coalesce(nullif(list_position(list_transform(range(1, least(len(c), len(r)) + 1), lambda i: c[i] = r[i]), false), 0) - 1,
+                          least(len(c), len(r))) AS INTEGER) AS n_common FROM sides),
+parts AS (
+  SELECT conv_id, n_common, c[1:n_common] AS p, c[n_common + 1:] AS c, r[n_common + 1:] AS r FROM cut),
+shown AS (
+  SELECT conv_id, n_common, c, r,
+    list_transform(p, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS ps,
+    list_transform(c, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS cs,
+    list_transform(r, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS rs FROM parts)
+SELECT conv_id AS pair_id, n_common, array_to_string(ps, '') AS prompt, array_to_string(cs, '') AS chosen,
+  array_to_string(rs, '') AS rejected,
+  array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'), lambda i:
+    (length(array_to_string(cs[1:i - 1], '')) + 14) || ':' || length(array_to_string(cs[1:i], ''))), ',') AS chosen_mask,
+  array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'), lambda i:
+    (length(array_to_string(rs[1:i - 1], '')) + 14) || ':' || length(array_to_string(rs[1:i], ''))), ',') AS rejected_mask
+FROM shown""",
+    "op5_dual_tree_top_k": """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(range(1, least(len(q.v), len(d.v)) + 1),
+         lambda i: q.v[i] * d.v[i])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
