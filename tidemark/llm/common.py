@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
@@ -125,6 +125,20 @@ def steps(texts: Sequence[str | None], limit: int = STEP_BYTES) -> Iterator[tupl
         yield start, len(texts)
 
 
+# Stands for a null id while rows are in pandas, where a column of whole numbers with gaps would turn into floats.
+NO_ID = -(1 << 63)
+
+
+def with_id(name: str = "doc_id") -> Column:
+    """The id as a whole number, ``NO_ID`` for null."""
+    return F.coalesce(F.col(name).cast("bigint"), F.lit(NO_ID).cast("bigint")).alias(name)
+
+
+def without_id(name: str = "doc_id") -> Column:
+    """The id again, null for ``NO_ID``."""
+    return F.nullif(F.col(name), F.lit(NO_ID).cast("bigint")).alias(name)
+
+
 def as_list(column: pd.Series) -> list:
     """Texts of a pandas column, missing ones as None."""
     return [t if isinstance(t, str) else None for t in column]

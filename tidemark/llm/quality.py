@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_list, signed, steps
+from tidemark.llm.common import as_list, signed, steps, with_id, without_id
 from tidemark.session import cut_lineage
 
 ORDER = 4
@@ -201,10 +201,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks))).repartition("block")
     wanted = dealt.groupBy("block").applyInPandas(_wanted, "block bigint, g bigint")
     answered = wanted.join(scores, "g").select(F.col("block").alias("of"), "g", "bits")
+    dealt = dealt.withColumn("doc_id", with_id())
     out = dealt.groupBy("block").cogroup(answered.groupBy("of")).applyInPandas(
         _scored, "doc_id bigint, text_key bigint, lang string, units bigint, bits double"
     )
-    return cut_lineage(_flagged(cut_lineage(out, "scored"), ids), "marked")
+    return cut_lineage(_flagged(cut_lineage(out.withColumn("doc_id", without_id()), "scored"), ids), "marked")
 
 
 def _quantile(rows: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, as_list, join_words, mix, signed, steps, windows
+from tidemark.llm.common import Words, as_list, join_words, mix, signed, steps, windows, with_id, without_id
 from tidemark.session import cut_lineage
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -186,5 +186,6 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     found = repeated_windows(docs, window).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("at"))
     found = found.select("doc_id", "text_key", F.col("at.start").alias("starts"), F.col("at.n").alias("counts"))
-    rows = _keyed(docs).join(found, ["doc_id", "text_key"], "left").select("doc_id", "text", "starts", "counts")
-    return rows.mapInPandas(_without(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    rows = _keyed(docs).join(found, ["doc_id", "text_key"], "left").select(with_id(), "text", "starts", "counts")
+    done = rows.mapInPandas(_without(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    return done.select(without_id(), "n_words", "n_removed", "kept_text")
