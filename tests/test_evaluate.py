@@ -100,8 +100,8 @@ def test_confusion_and_report(table, scored):
 
 def test_absent_classes_are_zero(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "label int, prediction int")
-    assert {r.n for r in evaluate.confusion_matrix(df).collect()} == {0, 2}
-    report = {r["class"]: r for r in evaluate.classification_report(df).collect()}
+    assert {r.n for r in evaluate.confusion_matrix(df, classes=(0, 1)).collect()} == {0, 2}
+    report = {r["class"]: r for r in evaluate.classification_report(df, classes=(0, 1)).collect()}
     assert (report["1"].precision, report["1"].recall, report["1"].f1, report["1"].support) == (0.0, 0.0, 0.0, 0)
 
 
@@ -157,3 +157,14 @@ def test_summary_table(spark):
     assert len(table) == 8
     assert table[3] == ("Nombre d'étudiants", "4")
     assert table[7] == ("Taux de réussite", "50.0%")
+
+
+def test_no_class_is_dropped(spark):
+    rows = [(0, 0), (1, 1), (2, 2), (2, 0), (1, 3), (None, 1), (1, None)]
+    df = spark.createDataFrame(rows, "label int, prediction int")
+    cells = {(r.actual, r.predicted): r.n for r in evaluate.confusion_matrix(df, classes=[7]).collect()}
+    assert len(cells) == 25 and sum(cells.values()) == 5 and cells[1, 3] == 1 and cells[7, 7] == 0
+    report = {r["class"]: r for r in evaluate.classification_report(df).collect()}
+    assert set(report) == {"0", "1", "2", "3", "accuracy", "macro avg", "weighted avg"}
+    assert report["accuracy"].f1 == pytest.approx(0.6) and report["accuracy"].support == 5
+    assert (report["3"].precision, report["3"].support) == (0.0, 0)

@@ -97,3 +97,11 @@ def test_percent_like_python(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     for row in df.select("x", numbers.percent(F.col("x"), 1).alias("t")).collect():
         assert row.t == f"{row.x:.1%}"
+
+
+def test_fixed_point_of_odd_numbers(spark):
+    values = [float("nan"), float("inf"), float("-inf"), 1e17, -1e17, 1e300, 9.1e15, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r.t for r in df.select(numbers.fixed_point(F.col("x"), 2).alias("t")).collect()]
+    assert got[:5] == ["nan", "inf", "-inf", "100000000000000000.00", "-100000000000000000.00"]
+    assert got[5].startswith("1000000") and len(got[5]) == 304 and got[6:] == ["9100000000000000.00", None]

@@ -40,3 +40,17 @@ def test_required_columns(spark):
 def test_export_refuses_no_results(spark, tmp_path):
     with pytest.raises(ValueError, match="no results"):
         export(spark.createDataFrame([], "a int"), str(tmp_path / "out"))
+
+
+def test_csv_with_doubled_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,text\n1,"say ""hi"" x"\n2,"two\nlines, one cell"\n3," kept "\n')
+    got = files.read_csv(spark, str(tmp_path / "t.csv"), "id int, text string", multi_line=True).collect()
+    assert [tuple(r) for r in got] == [(1, 'say "hi" x'), (2, "two\nlines, one cell"), (3, " kept ")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, str(tmp_path / "t.csv"), "id int, text string").collect()
+
+
+def test_csv_with_a_bad_number_fails(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id\n1\nx\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, str(tmp_path / "t.csv"), "id int").collect()

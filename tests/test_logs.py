@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
-from tidemark.functions import text
+from tidemark.functions import logline, text
 from tidemark.functions.numbers import utc
 from tidemark.operators import log_metrics, logs
 
@@ -120,3 +120,22 @@ def test_hot_client_is_counted_whole(spark):
     line = F.concat(ip, F.lit(' - - [01/Jan/2024:00:00:01 +0000] "GET / HTTP/1.1" 200 1'))
     counts = log_metrics.suspicious_ips(logs.parse(ids.select(line.alias("value"))))
     assert [(r.ip, r["count"]) for r in counts.collect()] == [("hot", 30_000)]
+
+
+def test_hours_that_a_session_zone_repeats_stay_apart(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT explode(array(timestamp'2024-11-03 05:30:00Z', timestamp'2024-11-03 06:30:00Z')) AS t")
+        got = [r.t for r in df.select(utc(F.col("t")).cast("string").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2024-11-03 05:30:00", "2024-11-03 06:30:00"]
+
+
+def test_status_of_any_length(spark):
+    line = '1.1.1.1 - - [01/Jan/2024:00:00:07 +0000] "GET / HTTP/1.1" {} 5'
+    statuses = ["9" * 40, "0" * 50 + "404", "7", "200"]
+    df = frame(spark, [line.format(s) for s in statuses])
+    got = [r.s for r in df.select(logline.severity(F.col("value")).alias("s")).collect()]
+    assert got == ["server_error", "client_error", "other", "success"]

@@ -71,10 +71,11 @@ def test_wide_correlations(spark):
     assert all(got[f] == pytest.approx(want[f], abs=1e-12) for f in got) and len(got) == 59
 
 
-def test_class_proportions(table, survey):
-    want = survey.groupby("b")["y"].value_counts(normalize=True).unstack()
-    for r in profile.class_proportions(table, ["b"], "y").collect():
-        assert (r.share_0, r.share_1) == pytest.approx(tuple(want.loc[r.value]))
+def test_class_proportions(spark):
+    rows = [(1.0, "a"), (1.0, "b"), (1.0, "b"), (1.0, "c"), (2.0, "a"), (2.0, "a"), (None, "a"), (3.0, "c"), (3.0, None)]
+    shares = profile.class_proportions(spark.createDataFrame(rows, "f double, y string"), ["f"], "y", classes=["d"])
+    got = {r["value"]: (r["share_a"], r["share_b"], r["share_c"], r["share_d"]) for r in shares.collect()}
+    assert got == {1.0: (0.25, 0.5, 0.25, None), 2.0: (1.0, None, None, None), 3.0: (None, None, 1.0, None)}
 
 
 def test_class_proportions_of_a_pure_value(spark):
@@ -89,13 +90,13 @@ def test_quartiles(table, survey):
         assert (r.q1, r.q2, r.q3) == pytest.approx(tuple(np.quantile(values, [0.25, 0.5, 0.75])))
 
 
-def test_class_profile(table, survey):
-    features = ["a", "b", "c"]
-    scaled = survey[features].apply(lambda x: (x - x.min()) / (x.max() - x.min()))
-    for r in profile.class_profile(table, features, "y").collect():
-        want = scaled.loc[survey.y == r.label, r.feature].mean()
-        assert r.mean_scaled is None if math.isnan(want) else r.mean_scaled == pytest.approx(want)
-        assert r.angle == pytest.approx(2 * math.pi * features.index(r.feature) / 3)
+def test_class_profile(spark):
+    rows = [(0.0, 10.0, 7.0, 0), (4.0, 30.0, 7.0, 0), (8.0, 20.0, 7.0, 1), (None, 14.0, 7.0, 1)]
+    got = profile.class_profile(spark.createDataFrame(rows, "a double, b double, c double, y int"), ["a", "b", "c"], "y")
+    want = {(0, "a"): 0.25, (1, "a"): 1.0, (0, "b"): 0.5, (1, "b"): 0.35, (0, "c"): None, (1, "c"): None}
+    assert {(r.label, r.feature): r.mean_scaled for r in got.collect()} == pytest.approx(want)
+    angles = {r.feature: r.angle for r in got.collect()}
+    assert angles == pytest.approx({"a": 0.0, "b": 2.0943951023931953, "c": 4.1887902047863905})
 
 
 @pytest.mark.parametrize(("grid", "cut"), [(200, 3.0), (100, 2.0)])

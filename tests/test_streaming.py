@@ -1,8 +1,10 @@
 """Streams: late data, restart, replay, failure, and equality with the batch result."""
 
 import os
+import threading
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators import log_metrics, logs
@@ -92,7 +94,10 @@ def test_replayed_epoch_overwrites(spark, tmp_path):
 def test_empty_epoch_writes_nothing(spark, tmp_path):
     sinks.epoch_writer(str(tmp_path / "sink"))(spark.createDataFrame([], "status int, count bigint"), 0)
     assert not (tmp_path / "sink").exists()
-    assert sinks.latest_view(spark, str(tmp_path / "sink"), ["status"], "status int, count bigint").count() == 0
+    view = sinks.latest_view(spark, str(tmp_path / "sink"), ["status"], "status int, count bigint", may_be_empty=True)
+    assert view.count() == 0
+    with pytest.raises(AnalysisException):
+        sinks.latest_view(spark, str(tmp_path / "sink"), ["status"], "status int, count bigint")
 
 
 def test_sink_failure_fails_the_query(spark, tmp_path):
@@ -155,3 +160,51 @@ def test_table_stream(spark, tmp_path):
     runner.await_all(runner.start({"odd": counts}, str(tmp_path / "sink"), str(tmp_path / "cp"), NOW))
     view = sinks.latest_view(spark, str(tmp_path / "sink" / "odd"), ["odd"], "odd bigint, count bigint")
     assert {r.odd: r["count"] for r in view.collect()} == {0: 5, 1: 5}
+
+
+def rate(spark):
+    return spark.readStream.format("rate").load().groupBy("value").count()
+
+
+def test_queries_that_ended_before_do_not_stop_new_ones(spark, tmp_path):
+    put(tmp_path / "in", "a", [access("00:00:01", 404)])
+    parsed = logs.parse(folder_lines(spark, str(tmp_path / "in"), 1))
+    counts = {"first": log_metrics.error_trends(parsed)}
+    runner.await_all(runner.start(counts, str(tmp_path / "s"), str(tmp_path / "c"), NOW))
+    running = runner.start({"second": rate(spark)}, str(tmp_path / "s2"), str(tmp_path / "c2"))
+    seen = []
+
+    def later():
+        seen.append(running[0].isActive)
+        running[0].stop()
+
+    timer = threading.Timer(3, later)
+    timer.start()
+    runner.run_until_stopped(running, 0.2)
+    assert seen == [True] and not running[0].isActive
+
+
+def test_no_query_stays_if_a_later_one_cannot_start(spark, tmp_path):
+    names = {"one": rate(spark), "two": spark.range(3).groupBy("id").count()}
+    with pytest.raises(AnalysisException):
+        runner.start(names, str(tmp_path / "s"), str(tmp_path / "c"))
+    assert not spark.streams.active
+
+
+def test_replayed_epoch_of_a_collection_has_the_same_ids(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), (None, 2)], "k string, count int")
+    write = sinks.collection_writer("c", ["k"], fmt="parquet", path=str(tmp_path / "c"))
+    for epoch in (0, 0, 1):
+        write(rows, epoch)
+    assert spark.read.parquet(str(tmp_path / "c")).select("_id").distinct().count() == 4
+
+
+def test_view_is_the_same_after_compaction(spark, tmp_path):
+    write, schema = sinks.epoch_writer(str(tmp_path / "a")), "k string, count bigint"
+    for epoch, rows in enumerate([[("x", 1), ("y", 1)], [("x", 3)], [("z", 2)]]):
+        write(spark.createDataFrame(rows, schema), epoch)
+    before = sorted(map(tuple, sinks.latest_view(spark, str(tmp_path / "a"), ["k"], schema).collect()))
+    assert sinks.compact(spark, str(tmp_path / "a"), str(tmp_path / "b"), ["k"], schema) == 2
+    assert sorted(map(tuple, sinks.latest_view(spark, str(tmp_path / "b"), ["k"], schema).collect())) == before
+    sinks.epoch_writer(str(tmp_path / "b"))(spark.createDataFrame([("x", 9)], schema), 3)
+    assert ("x", 9) in map(tuple, sinks.latest_view(spark, str(tmp_path / "b"), ["k"], schema).collect())

@@ -50,9 +50,14 @@ def product_id(request_url: Column) -> Column:
 
 
 def status_after_request(line: Column) -> Column:
-    """Number after the quoted request, 0 when there is none. Long enough for any digit run up to 38."""
-    digits = F.regexp_extract(line, f"(?Ud){fixed.STATUS_AFTER_REQUEST}", 1)
-    return F.coalesce(digits.try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    """Number after the quoted request, 0 when there is none; one of more than 38 digits is the largest of 38."""
+    digits = _status_digits(line)
+    number = F.when(F.length(F.ltrim(digits, F.lit("0"))) > 38, "9" * 38).otherwise(digits)
+    return F.coalesce(number.try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+
+
+def _status_digits(line: Column) -> Column:
+    return F.regexp_extract(line, f"(?Ud){fixed.STATUS_AFTER_REQUEST}", 1)
 
 
 def severity(line: Column) -> Column:
@@ -60,6 +65,7 @@ def severity(line: Column) -> Column:
     status = status_after_request(line)
     return (
         F.when(~is_access_line(line), "raw")
+        # also of any number of digits
         .when(status >= 500, "server_error")
         .when(status >= 400, "client_error")
         .when(status >= 300, "redirect")

@@ -37,9 +37,18 @@ def fixed_point(value: Column, digits: int) -> Column:
 
     Java's formatter rounds the shortest decimal text instead, which turns 0.125
     into 0.13. Here the scaled value is kept as product plus exact rounding error,
-    so that ties are seen as ties only when they are.
+    so that ties are seen as ties only when they are. From 2^53 / 10^digits on, where that has no room,
+    the formatter is used; NaN and infinities have their own text.
     """
     scale = float(10**digits)
+    special = F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").when(value == float("-inf"), "-inf")
+    large = F.abs(value) >= 2.0**53 / scale
+    formatted = F.format_string(f"%.{digits}f", value.cast("double"))
+    plain = F.when(~(large | F.isnan(value)), value)
+    return F.coalesce(special, F.when(large, formatted), _half_even(plain, digits, scale))
+
+
+def _half_even(value: Column, digits: int, scale: float) -> Column:
     size = F.abs(value)
     product = size * scale
     high = size.cast("float").cast("double")
@@ -62,5 +71,6 @@ def percent(share: Column, digits: int) -> Column:
 
 
 def utc(moment: Column) -> Column:
-    """Wall-clock time in UTC, whatever the session time zone."""
-    return F.convert_timezone(None, F.lit("UTC"), moment.cast("timestamp_ntz"))
+    """Wall-clock time in UTC, whatever the session time zone; counted from 1970, so that no local hour repeats."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), start)

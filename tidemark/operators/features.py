@@ -53,11 +53,10 @@ def hash_at_share(rows: DataFrame, key: str, share: float, seed: int = fixed.SEE
     """The hash of rank ceil(share x rows), found by narrowing it 15 bits at a time.
 
     Each step counts the rows of one bucket in 2^15 smaller ones, so only counts
-    are shuffled and the driver sees at most 2^15 of them. Once a bucket holds few
-    rows its hashes are read instead.
+    are shuffled and the driver sees at most 2^15 of them.
     """
     hashes = computed_once(rows, split_hash(F.col(key), seed).alias("h")).filter(F.col("h").isNotNull())
-    bits, few = 15, 10_000
+    bits = 15
     prefix, wanted = 0, None
     for shift in (45, 30, 15, 0):
         bucket = F.shiftright("h", shift)
@@ -72,9 +71,6 @@ def hash_at_share(rows: DataFrame, key: str, share: float, seed: int = fixed.SEE
             if wanted <= n:
                 break
             wanted -= n
-        if shift and n <= few:
-            rest = hashes.filter(F.shiftright("h", shift) == prefix).collect()
-            return sorted(r.h for r in rest)[wanted - 1]
     return prefix
 
 

@@ -110,11 +110,16 @@ def feature_value_counts(rows: DataFrame, features: Sequence[str], label: str) -
 
 
 def class_proportions(
-    rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[int] = (0, 1)
+    rows: DataFrame, features: Sequence[str], label: str, classes: Sequence = ()
 ) -> DataFrame:
-    """Share of each class per feature value; null where a value never meets a class."""
+    """Share of each class per feature value, as ``share_<class>``; null where a value never meets a class.
 
-    def share(c: int) -> Column:
+    The classes are those of the data, of which the driver gets one row each; ``classes`` adds more.
+    """
+    seen = rows.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1))).select(label).collect()
+    classes = sorted({r[0] for r in seen} | set(classes))
+
+    def share(c) -> Column:
         hits = F.count_if(F.col(label) == c)
         return F.try_divide(F.nullif(hits, F.lit(0).cast("bigint")), F.count(label)).alias(f"share_{c}")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.numbers import fixed_point, percent
-from tidemark.operators.ordered import quantiles_of_counts
+from tidemark.operators.ordered import quantiles_of_counts, running_totals
 from tidemark.session import cut_lineage
 
 
@@ -30,30 +30,43 @@ def score_rows(scored: DataFrame) -> DataFrame:
     )
 
 
+def in_order(rows: DataFrame, key: str) -> DataFrame:
+    """The rows sorted by an entity's key, each with its ``place`` from 1: places follow from counts per range of keys."""
+    totals = running_totals(rows.withColumn("_one", F.lit(1).cast("bigint")), key, ["_one"])
+    return totals.select(F.col("_one_upto").alias("place"), *rows.columns).orderBy(key)
+
+
 def score_report(scored: DataFrame) -> DataFrame:
     """Mean, exact median, population deviation, extremes, success rate, mean probability and count.
 
+    Every entity counts, also one without a note; each figure is over the entities that have it.
     Entities are first gathered by distinct score and written once, so the scoring
     runs once however many of the figures need it.
     """
     by_note = cut_lineage(
-        scored.filter(F.col("note").isNotNull())
-        .groupBy("note")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("reussite").alias("passed"), F.sum("proba").alias("proba")),
+        scored.groupBy("note").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("reussite").alias("passed"),
+            F.count("reussite").alias("judged"),
+            F.sum("proba").alias("proba"),
+            F.count("proba").alias("with_proba"),
+        ),
         "scores",
     )
-    mean = F.sum(F.col("note") * F.col("n")) / F.sum("n")
+    noted = F.sum(F.when(F.col("note").isNotNull(), F.col("n")))
+    mean = F.sum(F.col("note") * F.col("n")) / noted
     known_mean = by_note.agg(mean.alias("m")).scalar()
-    median = quantiles_of_counts(by_note.select("note", "n"), "note", {"median_note": 0.5}).scalar()
+    counts = by_note.filter(F.col("note").isNotNull()).select("note", "n")
+    median = quantiles_of_counts(counts, "note", {"median_note": 0.5}).scalar()
     return (
         by_note.withColumn("away", F.col("note") - known_mean)
         .agg(
             mean.alias("mean_note"),
-            F.sqrt(F.sum(F.col("n") * F.col("away") * F.col("away")) / F.sum("n")).alias("sd_note"),
+            F.sqrt(F.sum(F.col("n") * F.col("away") * F.col("away")) / noted).alias("sd_note"),
             F.min("note").alias("min_note"),
             F.max("note").alias("max_note"),
-            (F.sum("passed") / F.sum("n") * 100).alias("success_rate"),
-            (F.sum("proba") / F.sum("n")).alias("mean_proba"),
+            (F.try_divide(F.sum("passed"), F.sum("judged")) * 100).alias("success_rate"),
+            F.try_divide(F.sum("proba"), F.sum("with_proba")).alias("mean_proba"),
             F.sum("n").alias("n_entities"),
         )
         .withColumn("median_note", median)

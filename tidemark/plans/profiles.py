@@ -12,7 +12,7 @@ from tidemark.plans.inputs import ROLLUP_FEATURES, ROLLUP_SQL, order_rollup, rou
 from tidemark.plans.registry import query
 from tidemark.session import cut_lineage
 
-# The six strongest features at every scale of the driver tables, strongest first.
+# The features that the queries below pick by rank on the driver tables, strongest first; for their SQL only.
 TOP = ("n_lines", "sum_qty", "max_price", "n_returned", "min_price", "avg_tax")
 BINS = 20
 
@@ -20,6 +20,9 @@ _CORRELATIONS_SQL = f"""WITH {ROLLUP_SQL}, c AS (""" + " UNION ALL ".join(
     f"SELECT '{f}' AS feature, round(corr({f}, label), 6) AS corr FROM rollup" for f in ROLLUP_FEATURES
 ) + "), correlations AS (SELECT feature, corr, abs(corr) AS abs_corr FROM c)"
 
+_STEADY_SQL = f"""{ROLLUP_SQL.replace('rollup AS', 'plain AS', 1)},
+rollup AS (SELECT * REPLACE (round(avg_tax, 6) AS avg_tax, round(avg_discount, 6) AS avg_discount) FROM plain)"""
+
 LONG_SQL = "long AS (" + " UNION ALL ".join(
     f"SELECT label, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM rollup" for f in TOP
 ) + ")"
@@ -29,6 +32,14 @@ def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_rollup(table(spark, sf_dir, "lineitem"))
 
 
+def _ranked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """The rollup and its strongest features, strongest first. Averages are rounded, so that engines agree on them."""
+    averages = [c for c in ROLLUP_FEATURES if c.startswith("avg_")]
+    rollup = cut_lineage(rounded(_rollup(spark, sf_dir), *averages), "rollup")
+    best = profile.top_features(profile.target_correlation(rollup, ROLLUP_FEATURES, "label"))
+    return rollup, profile.feature_list(best)
+
+
 def _correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.target_correlation(_rollup(spark, sf_dir), ROLLUP_FEATURES, "label")
 
@@ -64,7 +75,7 @@ _MATRIX = (*TOP, "label")
 
 @query(
     "corr_matrix",
-    f"WITH {ROLLUP_SQL} "
+    f"WITH {_STEADY_SQL} "
     + " UNION ALL ".join(
         f"SELECT {i} AS i, {j} AS j, '{_MATRIX[i]}' AS row_name, '{_MATRIX[j]}' AS col_name, "
         f"round(corr({_MATRIX[i]}, {_MATRIX[j]}), 6) AS corr FROM rollup"
@@ -73,41 +84,51 @@ _MATRIX = (*TOP, "label")
     ),
 )
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.correlation_matrix(_rollup(spark, sf_dir), _MATRIX), "corr")
-
-
-_LEVELS = ("n_lines", "sum_qty", "n_returned")
+    rollup, top = _ranked(spark, sf_dir)
+    return rounded(profile.correlation_matrix(rollup, [*top, "label"]), "corr")
 
 
 @query(
     "class_proportions",
-    f"WITH {ROLLUP_SQL}, long AS ("
-    + " UNION ALL ".join(f"SELECT label, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM rollup" for f in _LEVELS)
-    + """)
+    f"""WITH {_STEADY_SQL}, {LONG_SQL}
 SELECT feature, value,
        round(nullif(count(*) FILTER (WHERE label = 0), 0) / count(label)::DOUBLE, 6) AS share_0,
        round(nullif(count(*) FILTER (WHERE label = 1), 0) / count(label)::DOUBLE, 6) AS share_1
 FROM long WHERE label IS NOT NULL GROUP BY feature, value""",
 )
 def class_proportions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = profile.class_proportions(_rollup(spark, sf_dir), _LEVELS, "label")
-    return rounded(shares, "share_0", "share_1")
+    rollup, top = _ranked(spark, sf_dir)
+    return rounded(profile.class_proportions(rollup, top, "label"), "share_0", "share_1")
+
+
+@query(
+    "proportions_three_classes",
+    """SELECT 'l_linenumber' AS feature, CAST(l_linenumber AS DOUBLE) AS value,
+       round(nullif(count(*) FILTER (WHERE l_returnflag = 'A'), 0) / count(*)::DOUBLE, 6) AS "share_A",
+       round(nullif(count(*) FILTER (WHERE l_returnflag = 'N'), 0) / count(*)::DOUBLE, 6) AS "share_N",
+       round(nullif(count(*) FILTER (WHERE l_returnflag = 'R'), 0) / count(*)::DOUBLE, 6) AS "share_R"
+FROM lineitem WHERE l_returnflag IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_linenumber""",
+)
+def proportions_three_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shares = profile.class_proportions(table(spark, sf_dir, "lineitem"), ["l_linenumber"], "l_returnflag")
+    return rounded(shares, *[c for c in shares.columns if c.startswith("share_")])
 
 
 @query(
     "class_quartiles",
-    f"""WITH {ROLLUP_SQL}, {LONG_SQL}
+    f"""WITH {_STEADY_SQL}, {LONG_SQL}
 SELECT feature, label, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS q2,
        round(quantile_cont(value, 0.75), 6) AS q3
 FROM long GROUP BY feature, label""",
 )
 def class_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.class_quartiles(_rollup(spark, sf_dir), TOP, "label"), "q1", "q2", "q3")
+    rollup, top = _ranked(spark, sf_dir)
+    return rounded(profile.class_quartiles(rollup, top, "label"), "q1", "q2", "q3")
 
 
 @query(
     "minmax_profile",
-    f"""WITH {ROLLUP_SQL}, {LONG_SQL},
+    f"""WITH {_STEADY_SQL}, {LONG_SQL},
 bounds AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM long GROUP BY feature),
 scaled AS (SELECT label, feature, (value - lo) / nullif(hi - lo, 0) AS value FROM long JOIN bounds USING (feature)),
 positions AS (SELECT * FROM (VALUES """
@@ -117,11 +138,12 @@ SELECT label, feature, round(angle, 6) AS angle, round(avg(value), 6) AS mean_sc
 FROM scaled JOIN positions USING (feature) GROUP BY label, feature, angle""",
 )
 def minmax_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.class_profile(_rollup(spark, sf_dir), TOP, "label"), "angle", "mean_scaled")
+    rollup, top = _ranked(spark, sf_dir)
+    return rounded(profile.class_profile(rollup, top, "label"), "angle", "mean_scaled")
 
 
 def _density_sql(grid: int, cut: int) -> str:
-    return f"""WITH {ROLLUP_SQL}, {LONG_SQL},
+    return f"""WITH {_STEADY_SQL}, {LONG_SQL},
 counts AS (SELECT feature, label, value, count(*) AS n FROM long GROUP BY ALL),
 stats AS (SELECT feature, label, count(*) AS rows, stddev_samp(value) * pow(count(*), -0.2) AS width,
                  min(value) AS lo, max(value) AS hi FROM long GROUP BY feature, label),
@@ -135,12 +157,14 @@ FROM points JOIN counts USING (feature, label) GROUP BY feature, label, point"""
 
 @query("class_density", _density_sql(200, 3))
 def class_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(density.class_density(_rollup(spark, sf_dir), TOP, "label"), "at_value", "density")
+    rollup, top = _ranked(spark, sf_dir)
+    return rounded(density.class_density(rollup, top, "label"), "at_value", "density")
 
 
 @query("violin_density", _density_sql(100, 2))
 def violin_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shapes = density.class_density(_rollup(spark, sf_dir), TOP, "label", grid=100, cut=2.0)
+    rollup, top = _ranked(spark, sf_dir)
+    shapes = density.class_density(rollup, top, "label", grid=100, cut=2.0)
     return rounded(shapes, "at_value", "density")
 
 
@@ -150,20 +174,15 @@ def _bin_sql(feature: str) -> str:
       / CAST({high} - {low} AS DOUBLE) * {BINS}) AS INTEGER), {BINS - 1}) AS {feature}"""
 
 
-# Averages are left out: engines add them up in different orders, and a last-digit
-# difference at a bin's edge would change a count.
-_BINNED = ("n_lines", "sum_qty", "max_price", "n_returned", "min_price")
-
-
 @query(
     "pair_bins",
-    f"WITH {ROLLUP_SQL}, binned AS (SELECT label, {', '.join(_bin_sql(f) for f in _BINNED)} FROM rollup) "
+    f"WITH {_STEADY_SQL}, binned AS (SELECT label, {', '.join(_bin_sql(f) for f in TOP)} FROM rollup) "
     + " UNION ALL ".join(
         f"SELECT '{x}' AS x_feature, '{y}' AS y_feature, label, {x} AS x_bin, {y} AS y_bin, count(*) AS n "
         "FROM binned GROUP BY ALL"
-        for x, y in combinations(_BINNED, 2)
+        for x, y in combinations(TOP, 2)
     ),
 )
 def pair_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = cut_lineage(_rollup(spark, sf_dir).select("label", *_BINNED), "rollup")
-    return profile.pair_bins(rollup, profile.column_ranges(rollup, _BINNED), "label", BINS)
+    rollup, top = _ranked(spark, sf_dir)
+    return profile.pair_bins(rollup, profile.column_ranges(rollup, top), "label", BINS)

@@ -33,7 +33,7 @@ def _replay(
     await_all(start(aggregates, f"{folder}/sink", f"{folder}/checkpoint", {"availableNow": True}))
     keys = (["window_start", "window_end"] if windowed else []) + [key]
     schema = f"{_WINDOW}, {key} {key_type}" if windowed else f"{key} {key_type}"
-    return latest_view(spark, f"{folder}/sink/{name}", keys, f"{schema}, count bigint")
+    return latest_view(spark, f"{folder}/sink/{name}", keys, f"{schema}, count bigint", may_be_empty=True)
 
 
 @query("stream_status_counts", batch.STATUS_COUNTS_SQL)

@@ -12,9 +12,19 @@ from tidemark import fixed_values as fixed
 FORMATS = ("csv", "json", "parquet", "orc")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, at the price of a second pass."""
-    reader = spark.read.option("header", True)
+# Quotes inside quoted fields are doubled; a broken field is an error.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header. Without a schema the types are inferred, at the price of a second pass.
+
+    A cell that does not fit its type, or a row with too few or too many cells, fails the read. Line breaks in quoted
+    fields need ``multi_line``, which reads each file in one task; without it a row broken by them fails.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST").option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     # Check names against the header, so that a reordered file fails instead of mixing columns.

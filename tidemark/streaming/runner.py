@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.log_metrics import LOG_METRICS
@@ -21,14 +21,19 @@ def start(
     """One query in update mode per named aggregate, each with its own checkpoint."""
     writer = writer or (lambda name: epoch_writer(f"{sink_folder}/{name}"))
     started = []
-    for name, aggregate in aggregates.items():
-        stream = (
-            aggregate.writeStream.queryName(name)
-            .outputMode("update")
-            .option("checkpointLocation", f"{checkpoint_folder}/{name}")
-            .foreachBatch(writer(name))
-        )
-        started.append((stream.trigger(**trigger) if trigger else stream).start())
+    try:
+        for name, aggregate in aggregates.items():
+            stream = (
+                aggregate.writeStream.queryName(name)
+                .outputMode("update")
+                .option("checkpointLocation", f"{checkpoint_folder}/{name}")
+                .foreachBatch(writer(name))
+            )
+            started.append((stream.trigger(**trigger) if trigger else stream).start())
+    except BaseException:
+        # all of them run, or none
+        stop(started)
+        raise
     return started
 
 
@@ -49,10 +54,17 @@ def await_all(queries: list[StreamingQuery]) -> None:
         stop(queries)
 
 
-def run_until_stopped(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Run until any query ends, fails or the user interrupts; then stop them all."""
+def run_until_stopped(queries: list[StreamingQuery], poll_seconds: float = 1) -> None:
+    """Run until any of these queries ends, fails or the user interrupts; then stop them all.
+
+    Queries that ended earlier in the same session do not count. A failure is raised.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(poll_seconds)
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
     except KeyboardInterrupt:
         pass
     finally:
