@@ -8,6 +8,7 @@ is found on the halves alone, before any pair is formed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -25,6 +26,9 @@ MISS = 1e-5
 # Documents that make a block of neighbours, and pairs that are confirmed together.
 BLOCK = 128
 GROUP_PAIRS = 2000
+# One-bit minhashes of the sketches that tell far pairs, and how many standard deviations a similar pair may stray.
+SKETCH_BITS = 2048
+STRAY = 4.5
 
 
 def parts_needed(similarity: float, part: int = PART, miss: float = MISS) -> int:
@@ -105,6 +109,39 @@ def _confirm(size: int, times: int, least: int):
     return run
 
 
+def _sketches(size: int):
+    """One bit of each of many minhashes, 64 to a column: two documents differ in about half of 1 - similarity of them."""
+    multipliers = (stream(9, SKETCH_BITS) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    flips = (stream(10, SKETCH_BITS) >> np.uint64(32)).astype(np.uint32)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, ids = as_list(batch["text"]), batch["id"].to_numpy()
+            for lo, hi in steps(texts):
+                words = Words(texts[lo:hi], lower=True)
+                sets = [shingles(words, i, size) for i in range(hi - lo)]
+                full = np.flatnonzero([len(s) for s in sets])
+                if not len(full):
+                    continue
+                every = (np.concatenate([sets[i] for i in full]) >> np.uint64(32)).astype(np.uint32)
+                at = np.concatenate([[0], np.cumsum([len(sets[i]) for i in full])[:-1]])
+                bits = np.empty((SKETCH_BITS, len(full)), dtype=np.uint8)
+                for r in range(SKETCH_BITS):
+                    low = np.minimum.reduceat((every ^ flips[r]) * multipliers[r], at)
+                    bits[r] = (low * np.uint32(0x9E3779B1)) >> np.uint32(31)
+                packed = np.ascontiguousarray(np.packbits(bits.T, axis=1)).view(np.int64)
+                frame = {"id": ids[lo + full]} | {f"s{i}": packed[:, i] for i in range(packed.shape[1])}
+                yield pd.DataFrame(frame)
+
+    return run
+
+
+def _most_different(similarity: float) -> int:
+    """Bits in which two documents of that similarity may differ."""
+    p = (1 - similarity) / 2
+    return math.floor(SKETCH_BITS * p + STRAY * math.sqrt(SKETCH_BITS * p * (1 - p)))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: Fraction | str = "4/5", part: int = PART) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs`` (``doc_id``, ``text``).
 
@@ -117,8 +154,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: Fraction | str =
     is null and it is kept. Empty input gives no rows. Other columns are ignored.
 
     Documents with equal sets are one class and meet the tables once. In each bucket every class is compared with
-    the smallest one, then with a drawn one of another component; at last all members outside a bucket's largest
-    component are compared with all others of it that are not yet connected. No bucket or partner is capped.
+    the smallest one. Documents of buckets that then still hold several components meet again in the left tables alone,
+    where every pair of different components is judged: by a sketch of 2048 bits, which a similar pair fails about as
+    rarely as the tables, and then on the full sets. No bucket or partner is capped.
     """
     similarity = Fraction(similarity)
     m = parts_needed(float(similarity), part)
@@ -177,11 +215,10 @@ def _blocks(buckets: DataFrame) -> DataFrame:
 
 def _links(classes: DataFrame, rows: DataFrame, size: int, similarity: Fraction, m: int) -> DataFrame:
     buckets = cut_lineage(_buckets(classes, m), "buckets")
-    members_in_all = buckets.count()
     wanted = buckets.select("id").distinct()
     texts = rows.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "text")
     texts = cut_lineage(texts, "texts")
-    sizes = classes.groupBy("id").agg(F.max("n_shingles").alias("n"))
+    sizes = cut_lineage(classes.groupBy("id").agg(F.max("n_shingles").alias("n")).join(wanted, "id"), "sizes")
     places = cut_lineage(_blocks(buckets).join(sizes, "id"), "places")
     top, bottom = similarity.numerator, similarity.denominator
 
@@ -204,35 +241,54 @@ def _links(classes: DataFrame, rows: DataFrame, size: int, similarity: Fraction,
     pairs = buckets.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     tried = cut_lineage(pairs, "pairs")
     links = cut_lineage(confirmed(tried), "links")
-    turn, last = 0, False
+    # what is left: documents in buckets that still hold several components
+    near, turn, last = None, 0, False
+    sketch = [f"s{i}" for i in range(SKETCH_BITS // 64)]
     while True:
         turn += 1
         labels = components(links).toDF("id", "component")
-        known = buckets.select("key", "id").join(labels, "id", "left")
-        known = known.select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        members = cut_lineage(known.join(mixed.where("lo < hi").select("key"), "key"), "open")
+        if near is None:
+            known = _labelled(buckets.select("key", "id"), labels)
+            open_ids = cut_lineage(known.join(_mixed(known), "key").select("id").distinct(), "open")
+            lefts = [F.get("parts", F.lit(i)).alias(f"p{i}") for i in range(m)]
+            slots = classes.join(open_ids, "id").select("id", F.posexplode(F.slice("parts", 1, m)).alias("slot", "part"), *lefts)
+            drawn = texts.join(open_ids, "id").mapInPandas(_sketches(size), ", ".join(["id bigint"] + [f"{c} bigint" for c in sketch]))
+            drawn = cut_lineage(drawn.join(sizes, "id"), "sketches")
+            slots = slots.withColumn("key", F.xxhash64("slot", "part")).drop("part")
+            near = cut_lineage(slots.join(drawn, "id"), "near")
+        known = _labelled(near, labels)
+        members = cut_lineage(known.join(_mixed(known), "key"), "members")
         shares = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        heads = shares.groupBy("key").agg(
-            F.max(F.struct("n", "component")).getField("component").alias("head"), F.sum("n").alias("size")
-        )
-        outside = members.join(heads, "key").where("component <> head")
-        work = outside.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-        if not work:
-            return links
-        last = last or (turn > 1 and work <= 4 * members_in_all)
-        if last:
-            # all members outside the largest component against all that are not connected with them
-            seeds = outside.select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-        else:
-            # one member of each bucket against the others, another one in each bucket of a family
-            drawn = F.struct(F.xxhash64("id", "key", F.lit(turn)), F.col("id").alias("x"), F.col("component").alias("cx"))
-            seeds = members.groupBy("key").agg(F.min(drawn).alias("s")).select("key", "s.x", "s.cx")
-        pairs = seeds.join(members, "key").where("cx <> component")
-        pairs = pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+        heads = shares.groupBy("key").agg(F.max(F.struct("n", "component")).getField("component").alias("head"))
+        outside = members.join(heads, "key").where("component <> head").drop("head")
+        if not last:
+            # first one drawn member of each bucket against the others: that joins most of what belongs together
+            picked = F.struct(F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
+            chosen = members.groupBy("key").agg(F.min(picked).getField("id").alias("id"))
+            outside = members.join(chosen, ["key", "id"])
+        x, y = outside.alias("x"), members.alias("y")
+        differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in sketch), F.lit(0))
+        similar_size = F.least("x.n", "y.n") * bottom >= F.greatest("x.n", "y.n") * top
+        apart = F.col("x.component") != F.col("y.component")
+        # a pair that meets in several tables is judged in the first of them
+        for i in range(m):
+            apart &= (F.col("x.slot") <= i) | (F.col(f"x.p{i}") != F.col(f"y.p{i}"))
+        close = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & similar_size & (differ <= _most_different(float(similarity))))
+        pairs = close.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
         fresh = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = cut_lineage(confirmed(fresh), "links")
         links, tried = links.union(more), tried.union(fresh)
         if last:
             return links
-        last = more.isEmpty()
+        # then all members outside a bucket's largest component against all that are not connected with them
+        last = more.isEmpty() or more.count() * 100 < members.select("id").distinct().count()
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def _mixed(known: DataFrame) -> DataFrame:
+    """Keys of the buckets that hold several components."""
+    mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return mixed.where("lo < hi").select("key")
