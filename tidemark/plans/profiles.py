@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,8 +12,7 @@ from tidemark.plans.inputs import ROLLUP_FEATURES, ROLLUP_SQL, order_rollup, rou
 from tidemark.plans.registry import query
 from tidemark.session import cut_lineage
 
-# The features that the queries below pick by rank on the driver tables, strongest first; for their SQL only.
-TOP = ("n_lines", "sum_qty", "max_price", "n_returned", "min_price", "avg_tax")
+TOP = 6
 BINS = 20
 
 _CORRELATIONS_SQL = f"""WITH {ROLLUP_SQL}, c AS (""" + " UNION ALL ".join(
@@ -23,9 +22,18 @@ _CORRELATIONS_SQL = f"""WITH {ROLLUP_SQL}, c AS (""" + " UNION ALL ".join(
 _STEADY_SQL = f"""{ROLLUP_SQL.replace('rollup AS', 'plain AS', 1)},
 rollup AS (SELECT * REPLACE (round(avg_tax, 6) AS avg_tax, round(avg_discount, 6) AS avg_discount) FROM plain)"""
 
-LONG_SQL = "long AS (" + " UNION ALL ".join(
-    f"SELECT label, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM rollup" for f in TOP
-) + ")"
+_RANKED_SQL = (
+    "ranked AS (SELECT feature, row_number() OVER (ORDER BY abs(c) DESC NULLS LAST, feature) - 1 AS pos FROM ("
+    + " UNION ALL ".join(f"SELECT '{f}' AS feature, corr({f}, label) AS c FROM rollup" for f in ROLLUP_FEATURES)
+    + f") QUALIFY pos < {TOP})"
+)
+
+# All features in long form, then only those picked by rank.
+LONG_SQL = (
+    f"{_RANKED_SQL}, every AS ("
+    + " UNION ALL ".join(f"SELECT label, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM rollup" for f in ROLLUP_FEATURES)
+    + "), long AS (SELECT every.* FROM every SEMI JOIN ranked USING (feature))"
+)
 
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,18 +78,19 @@ def project_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.select("l_orderkey", "label", *names)
 
 
-_MATRIX = (*TOP, "label")
+_MATRIX = (*ROLLUP_FEATURES, "label")
 
 
 @query(
     "corr_matrix",
-    f"WITH {_STEADY_SQL} "
+    f"WITH {_STEADY_SQL}, {_RANKED_SQL}, places AS (SELECT * FROM ranked UNION ALL SELECT 'label', {TOP}), pairs AS ("
     + " UNION ALL ".join(
-        f"SELECT {i} AS i, {j} AS j, '{_MATRIX[i]}' AS row_name, '{_MATRIX[j]}' AS col_name, "
-        f"round(corr({_MATRIX[i]}, {_MATRIX[j]}), 6) AS corr FROM rollup"
-        for i in range(len(_MATRIX))
-        for j in range(i + 1)
-    ),
+        f"SELECT '{x}' AS row_name, '{y}' AS col_name, round(corr({x}, {y}), 6) AS corr FROM rollup"
+        for x in _MATRIX
+        for y in _MATRIX
+    )
+    + """) SELECT CAST(r.pos AS INTEGER) AS i, CAST(c.pos AS INTEGER) AS j, row_name, col_name, corr
+FROM pairs JOIN places r ON r.feature = row_name JOIN places c ON c.feature = col_name WHERE r.pos >= c.pos""",
 )
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup, top = _ranked(spark, sf_dir)
@@ -131,9 +140,7 @@ def class_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_STEADY_SQL}, {LONG_SQL},
 bounds AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM long GROUP BY feature),
 scaled AS (SELECT label, feature, (value - lo) / nullif(hi - lo, 0) AS value FROM long JOIN bounds USING (feature)),
-positions AS (SELECT * FROM (VALUES """
-    + ", ".join(f"('{f}', {2 * math.pi * i / len(TOP)!r}::DOUBLE)" for i, f in enumerate(TOP))
-    + """) AS p(feature, angle))
+positions AS (SELECT feature, pos * {2 * math.pi / TOP!r}::DOUBLE AS angle FROM ranked)
 SELECT label, feature, round(angle, 6) AS angle, round(avg(value), 6) AS mean_scaled
 FROM scaled JOIN positions USING (feature) GROUP BY label, feature, angle""",
 )
@@ -176,12 +183,15 @@ def _bin_sql(feature: str) -> str:
 
 @query(
     "pair_bins",
-    f"WITH {_STEADY_SQL}, binned AS (SELECT label, {', '.join(_bin_sql(f) for f in TOP)} FROM rollup) "
+    f"WITH {_STEADY_SQL}, {_RANKED_SQL}, binned AS (SELECT label, {', '.join(map(_bin_sql, ROLLUP_FEATURES))} FROM rollup), "
+    + "pairs AS ("
     + " UNION ALL ".join(
         f"SELECT '{x}' AS x_feature, '{y}' AS y_feature, label, {x} AS x_bin, {y} AS y_bin, count(*) AS n "
         "FROM binned GROUP BY ALL"
-        for x, y in combinations(TOP, 2)
-    ),
+        for x, y in permutations(ROLLUP_FEATURES, 2)
+    )
+    + """) SELECT pairs.* FROM pairs JOIN ranked x ON x.feature = x_feature JOIN ranked y ON y.feature = y_feature
+WHERE x.pos < y.pos""",
 )
 def pair_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup, top = _ranked(spark, sf_dir)

@@ -14,6 +14,13 @@ from tidemark.functions.text import utf8
 from tidemark.sources.files import CSV_OPTIONS
 
 ROWS_PER_FILE = 1_000_000
+# Texts keep their outer spaces, times their microseconds.
+CSV_AS_IT_IS = {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def epoch_writer(folder: str) -> Callable[[DataFrame, int], None]:
@@ -116,7 +123,7 @@ def export(rows: DataFrame, path: str, fmt: str = "parquet") -> str:
             raise ValueError("no results to export")
         writer = rows.write.mode("overwrite").format(fmt)
         if fmt == "csv":
-            writer = writer.options(**CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+            writer = writer.options(**CSV_OPTIONS, **CSV_AS_IT_IS)
         writer.save(path)
     finally:
         rows.unpersist()
