@@ -53,3 +53,13 @@ def test_only_needed_slices_are_read(spark, by):
     quantiles = ordered.exact_quantiles(df, "v", {"m": 0.5}, by)
     plan = quantiles._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
+
+
+def test_slices_are_spread_by_range(spark, capsys):
+    counts = spark.range(1000).selectExpr("id AS v", "1L AS n")
+    ordered.running_totals(counts, "v", ["n"]).explain()
+    plan = capsys.readouterr().out
+    # only the small facts per slice are dealt by a hash
+    rows = [line for line in plan.splitlines() if "Exchange" in line and "(_slice" in line]
+    assert sum("rangepartitioning(_slice" in line for line in rows) == 1
+    assert sum("hashpartitioning(_slice" in line for line in rows) <= 1

@@ -55,6 +55,8 @@ def _slices(rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str],
 def _within_slices(
     slices: DataFrame, columns: Sequence[str], order: str, sums: Sequence[str], by: Sequence[str], descending: bool
 ) -> DataFrame:
+    # by range, not by hash: a hash of the slice numbers would put several slices on one task and none on others
+    slices = slices.repartitionByRange("_slice", *by)
     ordered = Window.partitionBy("_slice", *by).orderBy(_order(order, descending))
     inside = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return slices.select(
