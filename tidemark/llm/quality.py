@@ -8,7 +8,6 @@ A block's distinct 4-grams meet the model in a join, come back with their probab
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
