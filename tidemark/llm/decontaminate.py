@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, as_list, steps
+from tidemark.llm.common import Words, as_list, mix, steps
 from tidemark.session import cut_lineage
 
 # Words of a passage, and words between the beginnings of a document's passages.
@@ -143,6 +143,8 @@ def _hits(terms: np.ndarray):
                 place, term = lookup.find(words.hashes)
                 cut = np.searchsorted(place, words.first)
                 rows = np.flatnonzero(cut[1:] > cut[:-1])
+                if not len(rows):
+                    continue
                 yield pd.DataFrame(
                     {
                         "doc_id": ids[lo + rows],
@@ -157,66 +159,49 @@ def _hits(terms: np.ndarray):
 
 @dataclass
 class Passages:
-    """Weighted term vectors in rows: ``terms`` and ``weights`` from ``first[i]`` to ``first[i + 1]``."""
+    """The terms in pieces of ``size`` words of some documents; pieces without a term are left out.
+
+    The terms of piece i are those from ``first[i]`` to ``first[i + 1]``; ``row`` and ``number`` tell which document it
+    belongs to and which of its pieces it is.
+    """
 
     terms: np.ndarray
-    weights: np.ndarray
     first: np.ndarray
-
-    def times(self, matrix: np.ndarray) -> np.ndarray:
-        n = len(self.first) - 1
-        out = np.zeros((n, matrix.shape[1]), dtype=np.float32)
-        full = np.flatnonzero(self.first[1:] > self.first[:-1])
-        if len(full):
-            out[full] = np.add.reduceat(matrix[self.terms] * self.weights[:, None], self.first[full], axis=0)
-        return out
-
-    def added(self, rows: np.ndarray, into: np.ndarray) -> None:
-        """Add the transposed product with ``rows``."""
-        if not len(self.terms):
+    row: np.ndarray
+    number: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]], size: int) -> Passages:
+        terms = np.concatenate([t for _, t in rows]).astype(np.int64) if rows else np.empty(0, np.int64)
+        number = np.concatenate([p for p, _ in rows]).astype(np.int64) // size if rows else np.empty(0, np.int64)
+        row = np.repeat(np.arange(len(rows)), [len(t) for _, t in rows])
+        edge = np.ones(len(terms), dtype=bool)
+        edge[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
+        first = np.flatnonzero(edge)
+        return cls(terms, np.append(first, len(terms)), row[first], number[first])
+
+    def __len__(self) -> int:
+        return len(self.row)
+
+    def sums(self, matrix: np.ndarray) -> np.ndarray:
+        """Sum of the terms' rows of ``matrix`` per piece."""
+        if not len(self):
+            return np.zeros((0, matrix.shape[1]), dtype=matrix.dtype)
+        return np.add.reduceat(matrix[self.terms], self.first[:-1], axis=0)
+
+    def spread(self, rows: np.ndarray, into: np.ndarray) -> None:
+        """Add each piece's row to all its terms."""
+        if not len(self):
             return
-        owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         order = np.argsort(self.terms, kind="stable")
         terms = self.terms[order]
+        owner = np.repeat(np.arange(len(self)), np.diff(self.first))[order]
         at = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
-        into[terms[at]] += np.add.reduceat(rows[owner[order]] * self.weights[order][:, None], at, axis=0)
-
-    def norms(self) -> np.ndarray:
-        return np.sqrt(np.add.reduceat(np.append(self.weights**2, 0), self.first[:-1]) * (np.diff(self.first) > 0))
-
-
-def _passages(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, stride: int) -> tuple[Passages, np.ndarray, np.ndarray]:
-    """All passages of some documents that hold a term, with their document and beginning."""
-    every_term, every_key, every_row = [], [], []
-    for i, (places, terms) in enumerate(rows):
-        last = places // stride
-        for back in range(PASSAGE // stride):
-            begin = last - back
-            good = begin >= 0
-            every_term.append(terms[good])
-            every_key.append(begin[good])
-            every_row.append(np.full(int(good.sum()), i))
-    if not every_term:
-        return Passages(np.empty(0, np.int64), np.empty(0, np.float32), np.zeros(1, np.int64)), *(np.empty(0, np.int64),) * 2
-    term, key, row = np.concatenate(every_term).astype(np.int64), np.concatenate(every_key).astype(np.int64), np.concatenate(every_row)
-    order = np.lexsort((term, key, row))
-    term, key, row = term[order], key[order], row[order]
-    # equal terms of a passage become one with the logarithm of their number
-    new = np.ones(len(term), dtype=bool)
-    new[1:] = (term[1:] != term[:-1]) | (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-    at = np.flatnonzero(new)
-    count = np.diff(np.append(at, len(term)))
-    term, key, row = term[at], key[at], row[at]
-    weights = ((1 + np.log(count)) * idf[term]).astype(np.float32)
-    edge = np.ones(len(term), dtype=bool)
-    edge[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(edge)
-    return Passages(term, weights, np.append(first, len(term))), row[first], key[first] * stride
-
-
-def _unit(passages: Passages) -> Passages:
-    norms = passages.norms()
-    return Passages(passages.terms, passages.weights / np.repeat(np.maximum(norms, 1e-9), np.diff(passages.first)), passages.first)
+        into[terms[at]] += np.add.reduceat(rows[owner], at, axis=0)
+
+    def squares(self, idf: np.ndarray) -> np.ndarray:
+        """Sum of squared weights per piece."""
+        return np.add.reduceat(idf[self.terms] ** 2, self.first[:-1]) if len(self) else np.zeros(0)
 
 
 def _chunks(batch: pd.DataFrame, size: int = 500) -> Iterator[tuple[pd.DataFrame, list[tuple[np.ndarray, np.ndarray]]]]:
@@ -225,21 +210,35 @@ def _chunks(batch: pd.DataFrame, size: int = 500) -> Iterator[tuple[pd.DataFrame
         yield part, [(np.asarray(p), np.asarray(t)) for p, t in zip(part["places"], part["terms"], strict=True)]
 
 
-def _products(idf: np.ndarray, matrix: np.ndarray, square: bool):
-    """Sums over a task's passages A of ``A' A matrix``, or with ``square`` of ``matrix' A' A matrix``, in row groups."""
+def _signs(keys: np.ndarray, numbers: np.ndarray, width: int) -> np.ndarray:
+    """A row of random signs per passage, the same whenever a task is run again."""
+    seeds = mix(keys.view(np.uint64) + numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    words = np.stack([mix(seeds + np.uint64(i + 1)) for i in range(-(-width // 64))], axis=1)
+    bits = np.unpackbits(words.view(np.uint8), axis=1)[:, :width]
+    return bits.astype(np.float32) * 2 - 1
+
+
+def _products(idf: np.ndarray, basis: np.ndarray | None, width: int):
+    """Sums over a task's passages, in groups of rows: A' S for random signs S, or (A basis)' (A basis).
+
+    A has a row of unit length per passage. Factors of a term are left to the end in the first case, and are part of
+    the basis in the second.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((matrix.shape[1] if square else len(idf), matrix.shape[1]))
+        total = np.zeros((len(idf) if basis is None else width, width))
         count = 0
         for batch in batches:
-            for _, rows in _chunks(batch):
-                passages = _unit(_passages(rows, idf, PASSAGE)[0])
-                product = passages.times(matrix)
-                count += len(product)
-                if square:
-                    total += product.astype(np.float64).T @ product
+            for part, rows in _chunks(batch):
+                passages = Passages.of(rows, PASSAGE)
+                count += len(passages)
+                scale = (1 / np.sqrt(passages.squares(idf))).astype(np.float32)[:, None]
+                if basis is None:
+                    keys = part["text_key"].to_numpy()[passages.row]
+                    passages.spread(_signs(keys, passages.number, width) * scale, total)
                 else:
-                    passages.added(product, total)
+                    product = passages.sums(basis) * scale
+                    total += product.T @ product
         groups = range(0, len(total), 64)
         yield pd.DataFrame(
             {
@@ -256,10 +255,10 @@ def _sum(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [group["part"].iloc[0]], "data": [np.asarray(total, "<f8").tobytes()]})
 
 
-def _summed(hits: DataFrame, idf: np.ndarray, matrix: np.ndarray, square: bool) -> tuple[np.ndarray, float]:
-    parts = hits.select("places", "terms").mapInPandas(_products(idf, matrix.astype(np.float32), square), "part int, data binary")
+def _summed(hits: DataFrame, idf: np.ndarray, basis: np.ndarray | None, width: int) -> tuple[np.ndarray, float]:
+    parts = hits.select("text_key", "places", "terms").mapInPandas(_products(idf, basis, width), "part int, data binary")
     rows = {r["part"]: r["data"] for r in parts.groupBy("part").applyInPandas(_sum, "part int, data binary").collect()}
-    shape = (matrix.shape[1] if square else len(idf), matrix.shape[1])
+    shape = (len(idf) if basis is None else width, width)
     if not rows:
         return np.zeros(shape), 0.0
     count = float(np.frombuffer(rows.pop(-1), "<f8")[0])
@@ -268,50 +267,63 @@ def _summed(hits: DataFrame, idf: np.ndarray, matrix: np.ndarray, square: bool)
 
 
 def _latent(hits: DataFrame, own: Passages, idf: np.ndarray) -> np.ndarray:
-    """Terms by dimensions: the leading right singular vectors of the corpus's and the benchmark's passages.
+    """Terms by dimensions: the leading right singular vectors of the corpus's and the benchmark's passages, times idf.
 
-    The benchmark's passages together weigh as much as all passages of the corpus, so that each keeps its place.
+    The range is drawn from the rows of both; the second pass over the corpus rotates it to the singular vectors. The
+    benchmark's passages together weigh as much as all passages of the corpus, so that each keeps its place.
     """
-    n = len(own.first) - 1
-    width = min(len(idf), n + EXTRA + OVERSAMPLED)
-    draw = np.random.default_rng(8).standard_normal((len(idf), width))
-    unit = _unit(own)
-    span, count = _summed(hits, idf, draw, square=False)
-    weight = max(1.0, count / max(1, n))
+    width = min(len(idf), len(own) + EXTRA + OVERSAMPLED)
+    scale = 1 / np.sqrt(own.squares(idf))[:, None]
+    span, count = _summed(hits, idf, None, width)
+    weight = max(1.0, count / max(1, len(own)))
     extra = np.zeros_like(span)
-    unit.added(unit.times(draw.astype(np.float32)).astype(np.float64), extra)
-    basis, _ = np.linalg.qr(span + weight * extra)
-    inner, _ = _summed(hits, idf, basis, square=True)
-    mapped = unit.times(basis.astype(np.float32)).astype(np.float64)
+    own.spread(np.random.default_rng(8).standard_normal((len(own), width)) * scale, extra)
+    basis, _ = np.linalg.qr((span + weight * extra) * idf[:, None])
+    weighted = (basis * idf[:, None]).astype(np.float32)
+    inner, _ = _summed(hits, idf, weighted, width)
+    mapped = own.sums(weighted).astype(np.float64) * scale
     values, vectors = np.linalg.eigh(inner + weight * mapped.T @ mapped)
-    top = np.argsort(-values)[: min(width, n + EXTRA)]
-    return (basis @ vectors[:, top]).astype(np.float32)
+    top = np.argsort(-values)[: min(width, len(own) + EXTRA)]
+    return (basis @ vectors[:, top] * idf[:, None]).astype(np.float32)
 
 
 def _candidates(idf: np.ndarray, latent: np.ndarray, own: Passages, owner: np.ndarray):
-    items = own.times(latent)
-    items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-9)
-    least = WEIGHT * float(own.norms().min())
+    def unit(rows: np.ndarray) -> np.ndarray:
+        return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+
+    items = unit(own.sums(latent))
+    least = WEIGHT**2 * float(own.squares(idf).min())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part, rows in _chunks(batch):
-                passages, row, begin = _passages(rows, idf, STRIDE)
-                heavy = np.flatnonzero(passages.norms() >= least) if len(row) else row
+                pieces = Passages.of(rows, STRIDE)
+                if not len(pieces):
+                    continue
+                sums, squares = pieces.sums(latent), pieces.squares(idf)
+                # a passage is two neighbouring pieces, of which one may hold no term
+                paired = np.flatnonzero((pieces.row[1:] == pieces.row[:-1]) & (pieces.number[1:] == pieces.number[:-1] + 1))
+                alone = np.ones((2, len(pieces)), dtype=bool)
+                alone[0, paired], alone[1, paired + 1] = False, False
+                before = np.flatnonzero(alone[1] & (pieces.number > 0))
+                last = np.flatnonzero(alone[0])
+                left = np.concatenate([paired, last, before])
+                weight = np.concatenate([squares[paired] + squares[paired + 1], squares[last], squares[before]])
+                begin = np.concatenate([pieces.number[paired], pieces.number[last], pieces.number[before] - 1])
+                heavy = np.flatnonzero(weight >= least)
                 for lo in range(0, len(heavy), 4096):
                     some = heavy[lo : lo + 4096]
-                    picked = np.concatenate([np.arange(passages.first[i], passages.first[i + 1]) for i in some])
-                    first = np.concatenate([[0], np.cumsum(np.diff(passages.first)[some])])
-                    vectors = Passages(passages.terms[picked], passages.weights[picked], first).times(latent)
-                    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-                    a, b = np.nonzero(vectors @ items.T >= COSINE)
-                    at = row[some[a]]
+                    vectors = sums[left[some]]
+                    both = some < len(paired)
+                    vectors[both] += sums[left[some[both]] + 1]
+                    a, b = np.nonzero(unit(vectors) @ items.T >= COSINE)
+                    at = pieces.row[left[some[a]]]
                     yield pd.DataFrame(
                         {
                             "doc_id": part["doc_id"].array[at],
                             "text_key": part["text_key"].to_numpy()[at],
                             "item": owner[b].astype(np.int32),
-                            "begin": begin[some[a]].astype(np.int32),
+                            "begin": (begin[some[a]] * STRIDE).astype(np.int32),
                         }
                     )
 
@@ -388,8 +400,8 @@ def retrieved(rows: DataFrame, block: Block) -> DataFrame:
     hits = cut_lineage(rows.where("doc_id is not null").mapInPandas(_hits(terms), schema), "hits")
     lookup = _Lookup(terms)
     own_rows = [lookup.find(p) for p in block.passages]
-    own, row, _ = _passages([(place.astype(np.int64), term) for place, term in own_rows], idf, PASSAGE)
-    owner = block.owner[row]
+    own = Passages.of(own_rows, PASSAGE)
+    owner = block.owner[own.row]
     latent = _latent(hits, own, idf)
     return hits.mapInPandas(_candidates(idf, latent, own, owner), "doc_id bigint, text_key bigint, item int, begin int")
 
