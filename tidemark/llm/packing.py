@@ -12,6 +12,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
+import sys
+import types
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import as_list
+from tidemark.llm.common import as_list, with_id, without_id
 from tidemark.session import cut_lineage
 
 CAPACITY = 2048
@@ -32,7 +35,7 @@ SEPARATOR = 0
 # Pieces that one slice of a size class holds on average when ranks are given.
 SLICE_ROWS = 50_000
 # Words whose ids a worker remembers, and the longest such word.
-MEMORY_WORDS = 1 << 19
+MEMORY_WORDS = 1 << 20
 MEMORY_LENGTH = 48
 
 
@@ -40,8 +43,8 @@ MEMORY_LENGTH = 48
 _WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
 _ASCII_PAIRS = [pair for c in _WHITE if c.isascii() for pair in {" " + c, c + " "}]
 _OTHER_PAIRS = [pair for c in _WHITE if not c.isascii() for pair in (" " + c, c + " ")]
-# Words of these letters, with one of these marks behind at most, are split alike by every version of the pattern.
-_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[,.;:!?]?")
+# Words of ASCII and these letters are split alike by every version of Unicode.
+_LATIN = re.compile("[\\x00-\\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -56,7 +59,8 @@ class _Encoder(dict):
 
     The tokenizer splits at white space and never joins what lies on both sides of it, except that one space goes
     with the word after it; so the ids of a text without double white space are those of its words in order.
-    A plain new word is merged by a faster library from the same vocabulary, if its merges are in order of id.
+    A new word of plain letters is merged by a faster library from the same vocabulary, if the file is byte-level
+    with the usual pattern and its merges are in order of id.
     """
 
     def __init__(self, path: str):
@@ -66,21 +70,24 @@ class _Encoder(dict):
 
     def _merger(self, path: str):
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model, split = whole["model"], whole["pre_tokenizer"] or {}
         vocabulary, letters = model["vocab"], _byte_letters()
         pairs = ("".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model.get("merges", ()))
-        if any(vocabulary.get(pair) != 256 + i for i, pair in enumerate(pairs)):
+        usual = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        if not usual or whole["normalizer"] or any(vocabulary.get(pair) != 256 + i for i, pair in enumerate(pairs)):
             return None
         special = set(self.special)
         ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in special}
-        return tiktoken.Encoding("words", pat_str=r" ?\p{L}+|[^\p{L}]", mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if self.merge is not None and _PLAIN.fullmatch(word):
-            found = np.asarray(self.merge.encode_ordinary(" " + word), dtype="<u4").tobytes()
+        if self.merge is not None and (word.isascii() or _LATIN.fullmatch(word)):
+            ids = self.merge.encode_ordinary(" " + word)
+            found = struct.pack(f"<{len(ids)}I", *ids)
         else:
             found = self.ids(" " + word)
         if len(word) <= MEMORY_LENGTH:
@@ -97,13 +104,13 @@ class _Encoder(dict):
         return self.ids(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
 
-_ENCODERS: dict[str, _Encoder] = {}
-
-
 def _encoder(path: str) -> _Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = _Encoder(path)
-    return _ENCODERS[path]
+    """The encoder of this worker process, which serves all its tasks."""
+    memory = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
+    encoders = memory.setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = _Encoder(path)
+    return encoders[path]
 
 
 def _pieces(path: str, capacity: int, separator: int, with_ids: bool):
@@ -140,9 +147,10 @@ def token_pieces(
     first piece may be shorter. Null text counts as empty: one piece with the separator alone.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(with_id(), F.col("text").cast("string").alias("text"))
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
-    return rows.mapInPandas(_pieces(path, capacity, separator, with_ids), schema)
+    pieces = rows.mapInPandas(_pieces(path, capacity, separator, with_ids), schema)
+    return pieces.withColumn("doc_id", without_id())
 
 
 def sweeps(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
