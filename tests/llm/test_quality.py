@@ -102,3 +102,23 @@ def test_held_out_accuracy_and_odd_rows(spark, documents):
     assert judge(table.limit(0), labels).count() == 0
     assert {r["kept"] for r in judge(table, labels.limit(0)).collect()} == {True}
     assert {r["doc_id"] for r in trusted_ids(labels).collect()} == {*range(60), 999}
+
+
+def test_foul_sentences_in_ordinary_prose(spark, documents):
+    rng = random.Random(9)
+    syllables = ["ba", "ke", "mi", "tor", "sel", "dan"]
+
+    def prose(n):
+        return " ".join("".join(rng.choices(syllables, k=rng.randrange(1, 4))) for _ in range(n)) + "."
+
+    good = {i: prose(300) for i in range(300)}
+    # keys and numbers in one trusted text of twenty must not hide foul words
+    good |= {i: prose(150) + f" key = {rng.getrandbits(128):032x} " + prose(150) for i in range(0, 300, 20)}
+    foul = {1000 + i: f"{prose(150)} wuxhy gropfy wuxhy czuqh {prose(150)}" for i in range(20)}
+    fresh = {2000 + i: prose(300) for i in range(40)} | {3000: f"{prose(200)} key = {rng.getrandbits(128):032x} {prose(100)}"}
+    labels = spark.createDataFrame([(i, 1, 0) for i in good], "doc_id bigint, quality int, toxic int")
+    got = judge(documents([(i, t, "en") for i, t in (good | foul | fresh).items()]), labels).collect()
+    gone = {r["doc_id"] for r in got if not r["kept"]}
+    assert gone >= set(foul)
+    assert len(gone - set(foul)) <= 4
+    assert 3000 not in gone

@@ -4,10 +4,14 @@ Units are UTF-16 code units, so that one number of 64 bits is a 4-gram, exactly,
 its texts to distinct 4-grams with counts before anything is shuffled; model tables and their joins are dealt by
 n-gram, and hold one row per distinct n-gram of the corpus. For scoring, documents are dealt to blocks of a fixed size.
 A block's distinct 4-grams meet the model in a join, come back with their probabilities, and score the block's texts.
+
+A text is judged by its mean and by its worst stretches, so that a few foul sentences do not vanish in ordinary prose.
+Limits of the worst stretches come from trusted documents that are scored as if they had not been trained on.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,12 @@ DRAWN = 300
 # Of the trusted documents of a language this share lies below the threshold, which is raised by a margin in bits.
 QUANTILE = 0.995
 MARGIN = 0.15
+# Units of a stretch, and the share of a text's stretches, the worst, whose mean is judged.
+STRETCH = 12
+WORST = 0.01
+# Units of words and their punctuation. A stretch with another unit (numbers, keys, addresses) is rare in good texts
+# too, and does not count: it says nothing about the prose, and personal data have an operator of their own.
+PROSE = np.array([u >= 0x80 or chr(u).isalpha() or chr(u) in " \t\r\n.,;:!?'\"()-" for u in range(1 << 16)])
 # Quantiles are exact on a grid of this many steps per bit.
 GRID = 1000
 
@@ -99,6 +109,9 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
 def gram_scores(counts: DataFrame) -> DataFrame:
     """``g``, ``bits``: minus log2 of the probability of the last unit after the others, for every row of ``counts``.
 
+    ``alone`` is the same without the one trusted document that has the 4-gram, null for other counts than 1. It leaves
+    out each n-gram that only this 4-gram stands for; n-grams that others stand for too keep their counts.
+
     ``counts`` has every 4-gram that is asked for, with its count ``c`` in trusted text, maybe 0. The highest order
     uses counts; lower orders the number of distinct units before. Below the single unit all 65,536 are alike.
     """
@@ -120,14 +133,18 @@ def gram_scores(counts: DataFrame) -> DataFrame:
         )
         rows = asked[n].join(levels[n], "g", "left").withColumn("context", context).join(given, "context", "left")
         if below is None:
-            lower = F.lit(1 / 65536)
+            lower = without = F.lit(1 / 65536)
         else:
-            rows = rows.withColumn("suffix", _suffix(F.col("g"), n - 1)).join(below.toDF("suffix", "lower"), "suffix")
-            lower = F.col("lower")
+            rows = rows.withColumn("suffix", _suffix(F.col("g"), n - 1)).join(below.toDF("suffix", "lower", "without"), "suffix")
+            lower, without = F.col("lower"), F.col("without")
         own = F.coalesce(F.greatest(c - discount, F.lit(0.0)), F.lit(0.0)) / F.col("total")
         p = F.when(F.col("total").isNull(), lower).otherwise(own + F.col("rest") * lower)
-        below = cut_lineage(rows.select("g", p.alias("p")), "probabilities")
-    return below.select("g", (-F.log2("p")).alias("bits"))
+        left = (F.col("rest") * F.col("total") - d1) / (F.col("total") - 1) * without
+        alone = F.when((c == 1) & (F.col("total") == 1), without).when(c == 1, left)
+        if n < ORDER:
+            alone = F.coalesce(alone, p)
+        below = cut_lineage(rows.select("g", p.alias("p"), alone.alias("alone")), "probabilities")
+    return below.select("g", (-F.log2("p")).alias("bits"), (-F.log2("alone")).alias("alone"))
 
 
 def _wanted(group: pd.DataFrame) -> pd.DataFrame:
@@ -137,20 +154,44 @@ def _wanted(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": group["block"].iloc[0], "g": signed(every)})
 
 
+def _worst(sums: np.ndarray, strange: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Mean of the worst stretches of each text, from running sums of bits and of units that are no prose.
+
+    0 for a text shorter than a stretch or without a stretch of prose.
+    """
+    out = np.zeros(len(first) - 1)
+    means = (sums[STRETCH:] - sums[:-STRETCH]) / STRETCH
+    prose = strange[STRETCH:] == strange[:-STRETCH]
+    for i in np.flatnonzero(np.diff(first) >= STRETCH):
+        at = slice(first[i], first[i + 1] - STRETCH + 1)
+        own = means[at][prose[at]]
+        if len(own):
+            some = max(1, round(len(own) * WORST))
+            out[i] = np.partition(own, len(own) - some)[-some:].mean()
+    return out
+
+
 def _scored(group: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
     if not len(group):
-        return pd.DataFrame({"doc_id": [], "text_key": [], "lang": [], "units": [], "bits": []})
+        return pd.DataFrame({c: [] for c in ("doc_id", "text_key", "lang", "units", "bits", "worst", "worst_alone")})
     order = np.argsort(model["g"].to_numpy().view(np.uint64))
     known = model["g"].to_numpy().view(np.uint64)[order]
     bits = model["bits"].to_numpy()[order]
+    alone = model["alone"].to_numpy(dtype=np.float64)[order]
+    alone = np.where(np.isnan(alone), bits, alone)
     texts = as_list(group["text"])
     units, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    worst, worst_alone = np.zeros(len(texts)), np.zeros(len(texts))
     for lo, hi in steps(texts):
         grams, first = _grams(texts[lo:hi])
         units[lo:hi] = np.diff(first)
         if len(grams):
-            sums = np.concatenate([[0.0], np.cumsum(bits[np.searchsorted(known, grams)])])
+            place = np.searchsorted(known, grams)
+            sums = np.concatenate([[0.0], np.cumsum(bits[place])])
             total[lo:hi] = sums[first[1:]] - sums[first[:-1]]
+            strange = np.concatenate([[0], np.cumsum(~PROSE[grams & np.uint64(0xFFFF)])])
+            worst[lo:hi] = _worst(sums, strange, first)
+            worst_alone[lo:hi] = _worst(np.concatenate([[0.0], np.cumsum(alone[place])]), strange, first)
     return pd.DataFrame(
         {
             "doc_id": group["doc_id"].array,
@@ -158,6 +199,8 @@ def _scored(group: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
             "lang": group["lang"].array,
             "units": units,
             "bits": total,
+            "worst": worst,
+            "worst_alone": worst_alone,
         }
     )
 
@@ -188,7 +231,11 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_key``, ``lang``, ``units``, ``bits`` (sum over the text), ``trusted`` for every row."""
+    """``doc_id``, ``text_key``, ``lang``, ``units``, ``bits`` (sum over the text), ``worst``, ``trusted`` for every row.
+
+    ``worst`` is the mean number of bits per unit in the worst stretches of prose, 0 for a text without one.
+    ``worst_alone`` is the same under the model without the text, if the text is trusted.
+    """
     rows = _rows(docs)
     ids = cut_lineage(trusted_ids(labels), "trusted")
     counted = _flagged(rows.select("doc_id", "text"), ids).select("text", "trusted").mapInPandas(_counts, "g bigint, c bigint")
@@ -199,10 +246,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # equal rows share a block; all others are spread by id and text
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks))).repartition("block")
     wanted = dealt.groupBy("block").applyInPandas(_wanted, "block bigint, g bigint")
-    answered = wanted.join(scores, "g").select(F.col("block").alias("of"), "g", "bits")
+    answered = wanted.join(scores, "g").select(F.col("block").alias("of"), "g", "bits", "alone")
     dealt = dealt.withColumn("doc_id", with_id())
     out = dealt.groupBy("block").cogroup(answered.groupBy("of")).applyInPandas(
-        _scored, "doc_id bigint, text_key bigint, lang string, units bigint, bits double"
+        _scored, "doc_id bigint, text_key bigint, lang string, units bigint, bits double, worst double, worst_alone double"
     )
     return cut_lineage(_flagged(cut_lineage(out.withColumn("doc_id", without_id()), "scored"), ids), "marked")
 
@@ -216,12 +263,30 @@ def _quantile(rows: DataFrame, keys: list[str], value: str, share: float) -> Dat
     return seen.where(F.col("seen") >= F.lit(share) * F.col("all")).groupBy(*keys).agg((F.min("step") / GRID).alias("limit"))
 
 
+def _worst_limits(good: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The quantile of the trusted documents' worst stretches per key.
+
+    Fewer documents than the quantile can be read from give that of the extreme value (Gumbel) distribution with their
+    mean and deviation, unless theirs is larger.
+    """
+    z = (-math.log(-math.log(min(share, 1 - 1e-9))) - np.euler_gamma) * math.sqrt(6) / math.pi
+    spread = good.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), (F.avg("own_worst") + float(z) * F.coalesce(F.stddev("own_worst"), F.lit(0.0))).alias("extreme")
+    )
+    limits = _quantile(good, keys, "own_worst", share).join(spread, keys)
+    seen = F.col("n") * (1 - share) >= 1
+    return limits.select(*keys, F.when(seen, F.col("limit")).otherwise(F.greatest("limit", "extreme")).alias("worst_limit"))
+
+
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """``doc_id, text_key, lang, n_units, perplexity, level, threshold, kept`` for every row of ``docs``.
 
     ``docs``: ``doc_id``, ``lang``, ``text``; ``labels``: ``doc_id``, ``quality``, ``toxic``. Perplexity is per unit.
     ``level`` is the mean number of bits per unit, drawn towards the language's mean for short texts. A document is
-    kept if its level is at most the threshold of its language: a quantile of its trusted documents, and a margin.
+    kept if its level is at most the threshold of its language: a quantile of its trusted documents, and a margin. Its
+    worst stretches must also be at most the same quantile of the trusted documents' worst stretches, without a margin.
+    Trusted documents are measured for this without their own 4-grams. A text shorter than a stretch is filled up with
+    units of its language's mean.
 
     A language without trusted documents, or a null one, takes the threshold of all. A null or empty text has no
     perplexity and is kept; without any trusted document all are kept. Repeated rows are judged each; a null doc_id
@@ -237,11 +302,20 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin
     levels = rows.withColumn("key", lang).join(F.broadcast(centres), "key", "left") if _few(centres) else (
         rows.withColumn("key", lang).join(centres, "key", "left")
     )
-    levels = cut_lineage(levels.select("*", F.when(F.col("units") > 0, level).alias("level")), "levels")
+    short = (F.col("bits") + (STRETCH - F.col("units")) * F.coalesce("own", F.lit(overall))) / STRETCH
+    worst = [F.when(F.col("units") >= STRETCH, F.col(c)).when(F.col("units") > 0, short) for c in ("worst", "worst_alone")]
+    levels = levels.select(
+        *rows.columns, "key", F.when(F.col("units") > 0, level).alias("level"), worst[0].alias("stretch"), worst[1].alias("own_worst")
+    )
+    levels = cut_lineage(levels, "levels")
     good = levels.where("trusted and units > 0")
     pooled = _quantile(good.withColumn("one", F.lit(1)), ["one"], "level", quantile).first()
     limits = _quantile(good, ["key"], "level", quantile)
     limit = F.coalesce("limit", F.lit(pooled["limit"] if pooled else None).cast("double")) + margin
+    pooled_worst = _worst_limits(good.withColumn("one", F.lit(1)), ["one"], quantile).first()
+    limits = cut_lineage(limits.join(_worst_limits(good, ["key"], quantile), "key"), "limits")
+    worst_limit = F.coalesce("worst_limit", F.lit(pooled_worst["worst_limit"] if pooled_worst else None).cast("double"))
+    fair = (F.col("level") <= F.col("threshold")) & (F.col("stretch") <= worst_limit)
     judged = levels.join(F.broadcast(limits) if _few(limits) else limits, "key", "left").withColumn("threshold", limit)
     return judged.select(
         "doc_id",
@@ -251,7 +325,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin
         F.pow(F.lit(2.0), F.col("mean")).alias("perplexity"),
         "level",
         "threshold",
-        F.coalesce(F.col("level") <= F.col("threshold"), F.lit(True)).alias("kept"),
+        F.coalesce(fair, F.lit(True)).alias("kept"),
     )
 
 
