@@ -48,3 +48,11 @@ def test_odd_rows(documents):
                    (4, 40_001, 40_000, "a"), (7, 60, 0, text.upper()), (2**60 + 1, 60, 60, "")}
     assert remove_repeats(table).count() == 10
     assert remove_repeats(table.limit(0)).count() == 0
+
+
+def test_passage_repeated_inside_a_later_document(documents):
+    rng = random.Random(8)
+    for turn in range(4):
+        p, y, z = ([f"{c}{turn}{rng.random()}" for _ in range(60)] for c in "pyz")
+        texts = [(3, " ".join(p + z)), (5, " ".join((p + y) * 3))]
+        assert rows(remove_repeats(documents([(i, t, "en") for i, t in texts]))) == brute(texts, 50)

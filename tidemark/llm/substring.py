@@ -5,7 +5,8 @@ anchor is the smallest hash among the 16-word runs in it, so equal windows have
 share one. Windows of a document that follow each other and share their anchor are compacted into one path before
 anything is shuffled, about one row per 18 windows. Only paths whose anchor occurs in several documents go on. A path
 whose anchor has one content only is unbranched: all of it repeats or nothing. Where an anchor has several contents
-the paths branch; each distinct content is then reopened at its source coordinates, and single windows are compared.
+the paths branch; each distinct content is then reopened wherever its first document has it, and single windows are
+compared.
 """
 
 from __future__ import annotations
@@ -160,8 +161,10 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     copied = paths.where("doc_id < last").select("anchor", "content", F.col("doc_id").alias("source"))
     whole = live.join(copied, ["anchor", "content"]).where("doc_id > source").select("doc_id", "text_key", "start", "n")
     forks = paths.groupBy("anchor").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).where("lo < hi")
-    branching = paths.join(forks.select("anchor"), "anchor")
-    places = branching.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("at"))
+    branching = paths.join(forks.select("anchor"), "anchor").select("anchor", "content", "doc_id")
+    # a document may hold a content several times, and windows of each place are judged
+    sources = live.join(branching, ["anchor", "content", "doc_id"])
+    places = sources.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "n")).alias("at"))
     places = places.select("doc_id", "text_key", F.col("at.start").alias("starts"), F.col("at.n").alias("counts"))
     # rows that are wholly equal give the same windows; one of them is enough
     opened = rows.join(places, ["doc_id", "text_key"]).mapInPandas(
