@@ -90,3 +90,25 @@ def test_recall_of_the_latent_search(spark):
                     want.add((r["doc_id"], i))
     got = {(r["doc_id"], i) for r in d.judge(docs, benchmark).collect() for i in r["item_ids"]}
     assert want and len(want & got) >= 0.9 * len(want) and len(got - want) <= 0.1 * len(want)
+
+
+def test_item_in_a_third_of_the_documents(spark, documents):
+    rng = random.Random(12)
+    items = [[f"i{k}x{j}" for j in range(20)] for k in range(60)]
+    docs = []
+    for i in range(300):
+        # rare items on both sides outweigh the five words that a common item keeps
+        before, after = (items[1 + (2 * i + k) % 59] for k in range(2))
+        own = [f"w{rng.randrange(500)}" for _ in range(200)]
+        docs.append((i, " ".join(own[:100] + before + (items[0] if i % 3 == 0 else []) + after + own[100:]), "en"))
+    benchmark = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id bigint, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in d.judge(documents(docs), benchmark).collect()}
+    assert {i for i, found in got.items() if 0 in found} == {i for i in range(300) if i % 3 == 0}
+
+
+def test_runs_of_words():
+    texts = ["a b c d e f g", None, "x y", "f g a b c d e q x y"]
+    words = d._hashes(texts)
+    runs = d._Runs([d._hashes(["a b c d e"]).of(0), d._hashes(["x y"]).of(0)])
+    assert [tuple(map(int, r)) for r in zip(*runs.find(words), strict=True)] == [(0, 0, 0), (2, 1, 0), (3, 0, 0), (3, 1, 0)]
+    assert [len(x) for x in runs.find(d._hashes([None, "a b"]))] == [0, 0, 0]

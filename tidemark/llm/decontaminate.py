@@ -4,7 +4,8 @@ Benchmark items are cut into passages, and documents into overlapping passages o
 of the benchmark that are not too common; their weights follow from counts over all documents. A randomised SVD of the
 weighted passages of the whole corpus and of the benchmark gives a latent space: tasks multiply their passages with a
 narrow matrix, Spark adds the products up, and only matrices of terms by dimensions reach the driver. Every passage of
-every document is compared with every benchmark passage by the cosine in this space. Candidates are confirmed by the
+every document is compared with every benchmark passage by the cosine in this space. Where a document has some words
+of an item in a row, it is a candidate too, however common these words are. Candidates are confirmed by the
 longest common subsequence of words, or, for a paraphrase, by a shorter one together with the words of the answer.
 
 A benchmark is taken in blocks of ``BLOCK_PASSAGES``, each with its own terms and space, so that terms, matrices and
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, as_list, mix, steps
+from tidemark.llm.common import Words, as_list, mix, steps, windows
 from tidemark.session import cut_lineage
 
 # Words of a passage, and words between the beginnings of a document's passages.
@@ -35,6 +36,8 @@ RAREST = 5
 EXTRA = 32
 OVERSAMPLED = 8
 COSINE = 0.5
+# So many words of an item in a row, or a shorter item, make a candidate without the latent space.
+RUN = 5
 # A passage with less than this share of the smallest benchmark passage's weight is no candidate.
 WEIGHT = 0.3
 # Shares of an item's words in the longest common subsequence: enough alone, and with the answer.
@@ -132,9 +135,40 @@ def _frequencies(vocabulary: np.ndarray):
     return run
 
 
-def _hits(terms: np.ndarray):
+class _Runs:
+    """Runs of ``RUN`` words of some items, or whole shorter items, to be found in documents."""
+
+    def __init__(self, items: list[np.ndarray]):
+        by_size: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for i, words in enumerate(items):
+            size = min(RUN, len(words))
+            runs = np.unique(windows(words, size))
+            by_size.setdefault(size, []).append((runs, np.full(len(runs), i)))
+        self.tables = []
+        for size, held in by_size.items():
+            runs, owner = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(runs, kind="stable")
+            known, first = np.unique(runs[order], return_index=True)
+            self.tables.append((size, _Lookup(known), np.append(first, len(runs)), owner[order]))
+
+    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text number, item, and piece of ``STRIDE`` words in the text, in order of the text, each once."""
+        found = [np.empty((0, 3), dtype=np.int64)]
+        for size, lookup, first, owner in self.tables:
+            place, run = lookup.find(windows(words.hashes, size))
+            text = np.searchsorted(words.first, place, side="right") - 1
+            inside = place + size <= words.first[text + 1]
+            place, run, text = place[inside], run[inside], text[inside]
+            n = first[run + 1] - first[run]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            item = owner[np.repeat(first[run], n) + step]
+            found.append(np.stack([np.repeat(text, n), item, np.repeat((place - words.first[text]) // STRIDE, n)], axis=1))
+        return tuple(np.unique(np.concatenate(found), axis=0).T)
+
+
+def _hits(terms: np.ndarray, items: list[np.ndarray]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup = _Lookup(terms)
+        lookup, runs = _Lookup(terms), _Runs(items)
         for batch in batches:
             texts = as_list(batch["text"])
             ids, keys = batch["doc_id"].array, batch["text_key"].to_numpy()
@@ -142,7 +176,9 @@ def _hits(terms: np.ndarray):
                 words = _hashes(texts[lo:hi])
                 place, term = lookup.find(words.hashes)
                 cut = np.searchsorted(place, words.first)
-                rows = np.flatnonzero(cut[1:] > cut[:-1])
+                text, item, piece = runs.find(words)
+                own = np.searchsorted(text, np.arange(hi - lo + 1))
+                rows = np.flatnonzero((cut[1:] > cut[:-1]) | (own[1:] > own[:-1]))
                 if not len(rows):
                     continue
                 yield pd.DataFrame(
@@ -151,6 +187,8 @@ def _hits(terms: np.ndarray):
                         "text_key": keys[lo + rows],
                         "places": [(place[cut[i] : cut[i + 1]] - words.first[i]).astype(np.int32) for i in rows],
                         "terms": [term[cut[i] : cut[i + 1]].astype(np.int32) for i in rows],
+                        "items": [item[own[i] : own[i + 1]].astype(np.int32) for i in rows],
+                        "begins": [(piece[own[i] : own[i + 1]] * STRIDE).astype(np.int32) for i in rows],
                     }
                 )
 
@@ -384,7 +422,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def retrieved(rows: DataFrame, block: Block) -> DataFrame:
-    """``doc_id``, ``text_key``, ``item`` (place in the block), ``begin``: passages near an item in the latent space."""
+    """``doc_id``, ``text_key``, ``item`` (place in the block), ``begin``: passages near an item in the latent space, or
+    with some of its words in a row."""
     counted = rows.select("text").mapInPandas(_frequencies(block.vocabulary), "term bigint, n bigint")
     counts = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n_docs = counts.pop(-1, 0)
@@ -396,14 +435,18 @@ def retrieved(rows: DataFrame, block: Block) -> DataFrame:
         chosen[own[np.argsort(df[own], kind="stable")[:RAREST]]] = True
     terms = block.vocabulary[chosen]
     idf = np.log((n_docs + 1) / (df[chosen] + 1)) + 1
-    schema = "doc_id bigint, text_key bigint, places array<int>, terms array<int>"
-    hits = cut_lineage(rows.where("doc_id is not null").mapInPandas(_hits(terms), schema), "hits")
+    schema = "doc_id bigint, text_key bigint, places array<int>, terms array<int>, items array<int>, begins array<int>"
+    hits = cut_lineage(rows.where("doc_id is not null").mapInPandas(_hits(terms, block.words), schema), "hits")
     lookup = _Lookup(terms)
     own_rows = [lookup.find(p) for p in block.passages]
     own = Passages.of(own_rows, PASSAGE)
     owner = block.owner[own.row]
     latent = _latent(hits, own, idf)
-    return hits.mapInPandas(_candidates(idf, latent, own, owner), "doc_id bigint, text_key bigint, item int, begin int")
+    near = hits.select("doc_id", "text_key", "places", "terms").mapInPandas(
+        _candidates(idf, latent, own, owner), "doc_id bigint, text_key bigint, item int, begin int"
+    )
+    exact = hits.where("size(items) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("items", "begins")).alias("at"))
+    return near.union(exact.select("doc_id", "text_key", "at.items", "at.begins"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
