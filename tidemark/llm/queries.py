@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, html, minhash, packing, pii, quality, substring, topk, url_filter
+from tidemark.llm import chat, clustering, decontaminate, html, minhash, packing, pii, quality, substring, topk, url_filter
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,11 @@ def op10_de_bruijn_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.centroid_clusters(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", clustering.centroid_digest()).drop("centroid")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -102,9 +107,31 @@ QUERIES: dict[str, Query] = {
         op8_latent_semantic_decontamination,
         op9_weak_supervision_pii,
         op10_de_bruijn_substring_dedup,
+        op13_centroid_clustering,
     )
 }
 
+
+def _clustering_sql(rounds: int) -> str:
+    """Lloyd's rounds as a chain of tables: nearest of the centroids before, then their exact mean rounded down."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+  SELECT rid, min(struct_pack(distance := distance, cluster := cluster)) AS best FROM (
+    SELECT rid, cluster, CAST(list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT) AS distance
+    FROM kept CROSS JOIN c{i}) GROUP BY rid)""")
+        if i < rounds:
+            steps.append(f"""sums{i} AS (
+  SELECT best.cluster AS cluster, j, sum(v[j]) AS s, count(*) AS n
+  FROM kept JOIN a{i} USING (rid) CROSS JOIN (SELECT unnest(range(1, 65)) AS j) GROUP BY ALL),
+means{i} AS (
+  SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM sums{i} GROUP BY cluster),
+c{i + 1} AS (SELECT cluster, coalesce(m.c, p.c) AS c FROM c{i} p LEFT JOIN means{i} m USING (cluster))""")
+    return ",\n".join(steps)
+
+
+CLUSTER_ROUNDS = 3
+
 ORACLES: dict[str, str] = {
     "op1_bloom_cascade_url_filter": """
 WITH parts AS (
@@ -203,4 +230,19 @@ scores AS (
   FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op13_centroid_clustering": f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS INTEGER) AS cluster, v AS c FROM kept
+  WHERE vec_id IS NOT NULL QUALIFY cluster < 16),
+{_clustering_sql(CLUSTER_ROUNDS)},
+found AS (
+  SELECT vec_id, best.cluster AS cluster, best.distance AS distance
+  FROM kept JOIN a{CLUSTER_ROUNDS} USING (rid))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN c{CLUSTER_ROUNDS} USING (cluster)""",
 }
