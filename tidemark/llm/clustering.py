@@ -30,7 +30,8 @@ def whole_vectors(vectors: DataFrame, width: int, scale: int) -> DataFrame:
 
 
 def _literal(values: Sequence[int]) -> Column:
-    return F.array(*[F.lit(x).cast("bigint") for x in values])
+    # one expression text instead of a call into the JVM per number; the planner folds it to one literal
+    return F.expr(f"array({', '.join(f"bigint('{x}')" for x in values)})")
 
 
 def _distance(centroid: Centroid) -> Column:
@@ -93,7 +94,7 @@ def centroid_clusters(
         "vec_id",
         "cluster",
         "distance",
-        F.get(_literal([totals.get(i, 0) for i in numbers]), F.col("cluster")).alias("cluster_inertia"),
+        F.get(_literal([totals.get(i, 0) for i in numbers]), F.col("cluster")).cast("bigint").alias("cluster_inertia"),
         F.when(F.col("cluster").isNotNull(), F.lit(sum(x or 0 for x in totals.values())).cast("bigint")).alias("inertia"),
         F.get(F.array(*[_literal(c) for c in centroids]), F.col("cluster")).alias("centroid")
         if centroids
