@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, clustering, decontaminate, html, minhash, packing, pii, quality, substring, topk, url_filter
+from tidemark.llm import (
+    chat,
+    clustering,
+    decontaminate,
+    html,
+    minhash,
+    packing,
+    pii,
+    quality,
+    substring,
+    topk,
+    url_filter,
+    whitening,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +102,10 @@ def op10_de_bruijn_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = clustering.centroid_clusters(table(spark, sf_dir, "embeddings"))
     return found.withColumn("centroid_sha256", clustering.centroid_digest()).drop("centroid")
@@ -107,6 +124,7 @@ QUERIES: dict[str, Query] = {
         op8_latent_semantic_decontamination,
         op9_weak_supervision_pii,
         op10_de_bruijn_substring_dedup,
+        op11_jacobi_davidson_whitening,
         op13_centroid_clustering,
     )
 }
