@@ -18,6 +18,7 @@ from tidemark.llm import (
     quality,
     substring,
     topk,
+    transform,
     url_filter,
     whitening,
 )
@@ -106,6 +107,11 @@ def op11_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFram
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_merged_transform_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = transform.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = clustering.centroid_clusters(table(spark, sf_dir, "embeddings"))
     return found.withColumn("centroid_sha256", clustering.centroid_digest()).drop("centroid")
@@ -125,6 +131,7 @@ QUERIES: dict[str, Query] = {
         op9_weak_supervision_pii,
         op10_de_bruijn_substring_dedup,
         op11_jacobi_davidson_whitening,
+        op12_merged_transform_dedup,
         op13_centroid_clustering,
     )
 }
@@ -248,6 +255,37 @@ scores AS (
   FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    # texts as hexadecimal digits; pieces of 200 bytes keep the cutting of long texts cheap
+    "op12_merged_transform_dedup": """
+WITH sized AS (
+  SELECT doc_id, h, length(h) // 2 AS n FROM (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents)),
+pieces AS (
+  SELECT doc_id, n, b, substr(h, 200 * b + 1, 400) AS piece
+  FROM (SELECT *, unnest(range(0, (n - 100) // 100 + 1)) AS b FROM sized WHERE n >= 100)),
+wins AS (
+  SELECT doc_id, 100 * b + o AS s, md5(substr(piece, 2 * o + 1, 200)) AS w
+  FROM (SELECT *, unnest(range(100)) AS o FROM pieces) WHERE 100 * b + o <= n - 100),
+firsts AS (SELECT w, min(doc_id) AS lo FROM wins GROUP BY w HAVING count(*) > 1),
+gone AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, lo, min(s) OVER (PARTITION BY w, doc_id) AS first_s FROM wins JOIN firsts USING (w))
+  WHERE lo < doc_id OR first_s < s),
+steps AS (
+  SELECT doc_id, s, lead(s) OVER d AS nxt, lag(s) OVER d AS prv FROM gone WINDOW d AS (PARTITION BY doc_id ORDER BY s)),
+totals AS (
+  SELECT doc_id, CAST(sum(least(100, coalesce(nxt - s, 100))) AS BIGINT) AS n_removed,
+         count(*) FILTER (WHERE prv IS NULL OR s > prv + 100) AS n_spans, min(s) AS first_s
+  FROM steps GROUP BY doc_id),
+segments AS (
+  SELECT doc_id, 0 AS a, coalesce(first_s, n) AS b FROM sized LEFT JOIN totals USING (doc_id)
+  UNION ALL
+  SELECT doc_id, s + 100, coalesce(nxt, n) FROM steps JOIN sized USING (doc_id) WHERE nxt IS NULL OR nxt > s + 100),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h
+  FROM segments JOIN sized USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM sized JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)""",
     "op13_centroid_clustering": f"""
 WITH kept AS (
   SELECT row_number() OVER () AS rid, vec_id,
