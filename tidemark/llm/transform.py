@@ -38,7 +38,7 @@ from tidemark.session import cut_lineage, scratch_path
 SHARD_BYTES = 4 << 20
 SHARD_TEXTS = 1 << 16
 # Bytes of text that one vectorised step holds.
-STEP = 1 << 20
+STEP = 1 << 16
 # Digests that are Python objects at a time.
 DIGESTS = 1 << 16
 SHARDS_PER_PART = 8
