@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,10 +70,17 @@ def test_empty_split(spark):
     assert features.with_exact_split(spark.range(0), "id").count() == 0
 
 
-def test_folds_mix_classes(spark):
-    df = features.with_folds(spark.range(5000).withColumn("label", F.col("id") % 2), "id")
-    counts = [r["count"] for r in df.groupBy("fold", "label").count().collect()]
-    assert len(counts) == 10 and min(counts) > 400
+def test_folds_are_stratified(spark):
+    df = spark.range(5003).withColumn("label", F.when(F.col("id") < 17, 1).when(F.col("id") < 20, 2).otherwise(0))
+    df = df.withColumn("label", F.when(F.col("id") == 5000, None).otherwise(F.col("label")))
+    folded = features.with_folds(df, "id", "label")
+    counts = {(r["label"], r["fold"]): r["count"] for r in folded.groupBy("fold", "label").count().collect()}
+    for label, n in ((0, 4982), (1, 17), (2, 3)):
+        want = Counter(rank * 5 // n for rank in range(n))
+        assert {f: c for (of, f), c in counts.items() if of == label} == want
+    assert counts[None, None] == 1
+    again = features.with_folds(df.repartition(7), "id", "label")
+    assert folded.exceptAll(again).count() == 0
 
 
 def test_clip_keeps_missing(spark):

@@ -1,9 +1,7 @@
-"""Running totals and quantiles against brute force."""
+"""Running totals against brute force."""
 
 import random
-import statistics
 
-import numpy as np
 import pytest
 
 from tidemark.operators import ordered
@@ -28,33 +26,6 @@ def test_running_totals(spark, descending):
             assert got[group, v] == (upto, total, following)
 
 
-def test_quantiles_per_group(spark):
-    random.seed(2)
-    rows = [("x", random.gauss(0, 1)) for _ in range(501)] + [("y", float(random.randint(0, 3))) for _ in range(400)]
-    rows += [("z", 5.0), ("x", None), ("x", float("nan")), (None, 1.0)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    shares = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.77, "e": 1.0}
-    got = {r.g: tuple(r)[1:] for r in ordered.exact_quantiles(df, "v", shares, ["g"]).collect()}
-    assert set(got) == {"x", "y", "z"}
-    for group in got:
-        values = [v for g, v in rows if g == group and v is not None and v == v]
-        assert got[group] == pytest.approx(np.quantile(values, list(shares.values())), abs=1e-12)
-
-
-def test_median_of_a_hot_value(spark):
-    values = [7.0] * 5000 + [float(i) for i in range(10_000)]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    assert ordered.exact_quantiles(df, "v", {"m": 0.5}).first().m == statistics.median(values)
-
-
-@pytest.mark.parametrize("by", [[], ["g"]])
-def test_only_needed_slices_are_read(spark, by):
-    df = spark.range(10_000).selectExpr("cast(id as double) v", "id % 3 g")
-    quantiles = ordered.exact_quantiles(df, "v", {"m": 0.5}, by)
-    plan = quantiles._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
-
-
 def test_slices_are_spread_by_range(spark, capsys):
     counts = spark.range(1000).selectExpr("id AS v", "1L AS n")
     ordered.running_totals(counts, "v", ["n"]).explain()

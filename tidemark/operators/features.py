@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 from tidemark.functions.numbers import min_max, observed, ratio, z_score
 from tidemark.operators.common import computed_once
+from tidemark.operators.groups import group_number, group_values
+from tidemark.operators.quantiles import values_at_ranks
 
 
 def event_counts(events: DataFrame, entity: str, event: str, features: Sequence[str]) -> DataFrame:
@@ -86,9 +88,30 @@ def with_exact_split(
     return rows.withColumn("is_test", split_hash(F.col(key), seed) <= last)
 
 
-def with_folds(rows: DataFrame, key: str, folds: int = fixed.FOLDS, seed: int = fixed.SEED) -> DataFrame:
-    """Fold number per row. The hash knows nothing of the label, so each fold has the same mix of classes."""
-    return rows.withColumn("fold", hash_bucket(F.col(key), folds, seed + 1).cast("int"))
+def with_folds(
+    rows: DataFrame, key: str, label: str, folds: int = fixed.FOLDS, seed: int = fixed.SEED
+) -> DataFrame:
+    """Fold number per row: each label's rows in order of the key's hash, cut into equal parts.
+
+    The parts of a label differ by one row at most, given unique keys. The bounds are found by counting hashes; the rows
+    are read a few times and do not move. Rows without a label have no fold.
+    """
+    labels = group_values(rows, label)
+    hashed = split_hash(F.col(key), seed + 1)
+
+    def lasts(n: int) -> list[int]:
+        return [r for i in range(1, folds) if 0 <= (r := math.ceil(n * i / folds) - 1)]
+
+    found = values_at_ranks(rows, [hashed], lasts, group_number(rows, label, labels), len(labels), whole=True)
+    fold = F.lit(None).cast("int")
+    for g, value in enumerate(labels):
+        if (g, 0) in found:
+            at, ranks = found[g, 0].at, lasts(found[g, 0].n)
+            # a label of fewer rows than folds has bounds of rank -1, which every row is beyond
+            passed = [(hashed > F.lit(at[r])).cast("int") for r in ranks]
+            skipped = F.lit(folds - 1 - len(ranks))
+            fold = F.when(F.col(label) == F.lit(value), sum(passed, skipped)).otherwise(fold)
+    return rows.withColumn("fold", fold)
 
 
 def _with_stats(rows: DataFrame, features: Sequence[str], first, second, fit_on: Column) -> DataFrame:

@@ -1,14 +1,12 @@
-"""Exact running totals and quantiles over a distributed sort, without a one-task window."""
+"""Exact running totals over a distributed sort, without a one-task window."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import observed
 from tidemark.session import cut_lineage
 
 
@@ -21,8 +19,7 @@ def _slices(rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str],
 
     That is the sums of all earlier slices (``_<c>_before``), of the own one
     (``_<c>_here``) and of all, and the first values of the next one (``_<c>_after``).
-    Slice bounds are sampled, hence the slices are written once, a folder each, so that
-    those not asked for are never read. The facts per slice are a small table: a row
+    Slice bounds are sampled, hence the slices are written once. The facts per slice are a small table: a row
     per slice, and one more per group.
     """
     # No number of slices is given, so that adaptive execution can join small neighbours.
@@ -78,46 +75,3 @@ def running_totals(
     """
     slices = _slices(rows, order, sums, by, descending)
     return _within_slices(slices, rows.columns, order, sums, by, descending)
-
-
-def value_counts(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct present values with their number of rows ``n``; rows of no group are left out."""
-    return (
-        rows.select(*by, observed(F.col(value)).alias(value))
-        .dropna(subset=[value, *by])
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def _position(share: float) -> Column:
-    return F.lit(float(share)) * (F.col("n_total") - 1)
-
-
-def quantiles_of_counts(
-    counts: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Named quantiles per group of counted values (column ``n``), between the two closest ranks.
-
-    Only the slices that hold a wanted rank are sorted.
-    """
-    slices = _slices(counts, value, ["n"], by, descending=False)
-    first, last = F.col("_n_before"), F.col("_n_before") + F.col("_n_here") - 1
-    wanted = [(F.floor(_position(s)) <= last) & (F.ceil(_position(s)) >= first) for s in shares.values()]
-    hit = slices.filter(reduce(lambda a, b: a | b, wanted))
-    ranked = _within_slices(hit, counts.columns, value, ["n"], by, descending=False)
-
-    def at(rank: Column) -> Column:
-        holds = (F.col("n_upto") - F.col("n") <= rank) & (rank < F.col("n_upto"))
-        return F.max(F.when(holds, F.col(value)))
-
-    def quantile(share: float) -> Column:
-        low, high = F.floor(_position(share)), F.ceil(_position(share))
-        return at(low) + (at(high) - at(low)) * F.max(_position(share) - low)
-
-    return ranked.groupBy(*by).agg(*[quantile(share).alias(name) for name, share in shares.items()])
-
-
-def exact_quantiles(rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """One row per group with the named quantiles, interpolated linearly."""
-    return quantiles_of_counts(value_counts(rows, value, by), value, shares, by)

@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 from tidemark.functions.numbers import min_max, observed
 from tidemark.operators.correlate import pair_correlations
-from tidemark.operators.ordered import quantiles_of_counts
+from tidemark.operators.groups import group_values
+from tidemark.operators.quantiles import exact_quantiles
+
+# A class of ``class_proportions`` is a column of its result.
+MOST_CLASSES = 256
 
 
 def _long(one_row: DataFrame, names: Sequence[str], key: str, value: str) -> DataFrame:
@@ -100,24 +104,14 @@ def with_names(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     return rows.withColumn("feature", _name(F.col("feature"), features))
 
 
-def feature_value_counts(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Rows per feature, label and distinct value; the common ground of quartiles and densities."""
-    return (
-        long_features(rows.filter(F.col(label).isNotNull()), features, label)
-        .groupBy("feature", label, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def class_proportions(
     rows: DataFrame, features: Sequence[str], label: str, classes: Sequence = ()
 ) -> DataFrame:
     """Share of each class per feature value, as ``share_<class>``; null where a value never meets a class.
 
-    The classes are those of the data, of which the driver gets one row each; ``classes`` adds more.
+    The classes are those of the data, at most ``MOST_CLASSES``, as each is a column; ``classes`` adds more.
     """
-    seen = rows.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1))).select(label).collect()
-    classes = sorted({r[0] for r in seen} | set(classes))
+    classes = sorted({*group_values(rows, label, MOST_CLASSES), *classes})
 
     def share(c) -> Column:
         hits = F.count_if(F.col(label) == c)
@@ -133,9 +127,7 @@ def class_proportions(
 
 def class_quartiles(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Quartiles of each feature per class, exact."""
-    counts = feature_value_counts(rows, features, label)
-    quartiles = quantiles_of_counts(counts, "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["feature", label])
-    return with_names(quartiles, features)
+    return exact_quantiles(rows, features, {"q1": 0.25, "q2": 0.5, "q3": 0.75}, label)
 
 
 def class_profile(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
-from tidemark.functions.numbers import fixed_point, percent
-from tidemark.operators.ordered import quantiles_of_counts, running_totals
+from tidemark.functions.numbers import fixed_point, observed, percent
+from tidemark.operators.ordered import running_totals
+from tidemark.operators.quantiles import median
 from tidemark.session import cut_lineage
 
 
@@ -39,38 +40,21 @@ def in_order(rows: DataFrame, key: str) -> DataFrame:
 def score_report(scored: DataFrame) -> DataFrame:
     """Mean, exact median, population deviation, extremes, success rate, mean probability and count.
 
-    Every entity counts, also one without a note; each figure is over the entities that have it.
-    Entities are first gathered by distinct score and written once, so the scoring
-    runs once however many of the figures need it.
+    Every entity counts, also one without a note; each figure is over the entities that have it. The three columns are
+    written once, so the scoring runs once; everything but the median is one aggregate.
     """
-    by_note = cut_lineage(
-        scored.groupBy("note").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("reussite").alias("passed"),
-            F.count("reussite").alias("judged"),
-            F.sum("proba").alias("proba"),
-            F.count("proba").alias("with_proba"),
-        ),
-        "scores",
-    )
-    noted = F.sum(F.when(F.col("note").isNotNull(), F.col("n")))
-    mean = F.sum(F.col("note") * F.col("n")) / noted
-    known_mean = by_note.agg(mean.alias("m")).scalar()
-    counts = by_note.filter(F.col("note").isNotNull()).select("note", "n")
-    median = quantiles_of_counts(counts, "note", {"median_note": 0.5}).scalar()
-    return (
-        by_note.withColumn("away", F.col("note") - known_mean)
-        .agg(
-            mean.alias("mean_note"),
-            F.sqrt(F.sum(F.col("n") * F.col("away") * F.col("away")) / noted).alias("sd_note"),
-            F.min("note").alias("min_note"),
-            F.max("note").alias("max_note"),
-            (F.try_divide(F.sum("passed"), F.sum("judged")) * 100).alias("success_rate"),
-            F.try_divide(F.sum("proba"), F.sum("with_proba")).alias("mean_proba"),
-            F.sum("n").alias("n_entities"),
-        )
-        .withColumn("median_note", median)
-    )
+    kept = cut_lineage(scored.select("note", "reussite", "proba"), "scores")
+    middle = median(kept, "note")
+    note = observed(F.col("note"))
+    return kept.agg(
+        F.avg(note).alias("mean_note"),
+        F.stddev_pop(note).alias("sd_note"),
+        F.min(note).alias("min_note"),
+        F.max(note).alias("max_note"),
+        (F.try_divide(F.sum("reussite"), F.count("reussite")) * 100).alias("success_rate"),
+        F.avg("proba").alias("mean_proba"),
+        F.count(F.lit(1)).alias("n_entities"),
+    ).withColumn("median_note", F.lit(middle).cast("double"))
 
 
 def summary_table(scored: DataFrame, user: str, moment: Column | None = None) -> DataFrame:
