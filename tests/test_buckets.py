@@ -1,0 +1,106 @@
+"""The sink with manifests, the watch over queries, and the state after a restart."""
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tidemark.sources import store
+from tidemark.streaming import buckets
+from tidemark.streaming.buckets import bucket_writer, current_view, forget, manifest
+from tidemark.streaming.runner import await_all, start
+from tidemark.streaming.watch import Watch, state_counts
+
+SCHEMA = "k string, j int, count bigint"
+
+
+def epoch(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def view(spark, folder):
+    return sorted((tuple(r) for r in current_view(spark, folder, SCHEMA).collect()), key=repr)
+
+
+def test_one_row_per_key_of_whole_epochs(spark, tmp_path):
+    folder = str(tmp_path / "sink")
+    write = bucket_writer(folder, ["k", "j"], buckets=3)
+    assert view(spark, folder) == []
+    write(epoch(spark, [("a", 1, 5), ("b", 1, 2), (None, None, 1)]), 0)
+    write(epoch(spark, []), 1)
+    write(epoch(spark, [("a", 1, 7), ("c", 2, 1), (None, None, 4)]), 2)
+    assert view(spark, folder) == sorted([("a", 1, 7), ("b", 1, 2), ("c", 2, 1), (None, None, 4)], key=repr)
+    # a replay of a published epoch changes nothing
+    write(epoch(spark, [("a", 1, 99)]), 2)
+    assert ("a", 1, 7) in view(spark, folder)
+
+
+def test_a_reader_never_sees_half_an_epoch(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "sink")
+    write = bucket_writer(folder, ["k", "j"], buckets=3)
+    write(epoch(spark, [("a", 1, 5), ("b", 1, 2)]), 0)
+    old_reader = current_view(spark, folder, SCHEMA)
+    publish = buckets.publish_manifest
+
+    def lost(*_):
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr(buckets, "publish_manifest", lost)
+    with pytest.raises(OSError, match="gone"):
+        write(epoch(spark, [("a", 1, 6), ("z", 1, 1)]), 1)
+    # all rows of epoch 1 are written, none is seen
+    assert view(spark, folder) == [("a", 1, 5), ("b", 1, 2)] and manifest(spark, folder)["epoch"] == 0
+    monkeypatch.setattr(buckets, "publish_manifest", publish)
+    write(epoch(spark, [("a", 1, 6), ("z", 1, 1)]), 1)
+    assert view(spark, folder) == [("a", 1, 6), ("b", 1, 2), ("z", 1, 1)]
+    # a reader that began before still has its files, until they are forgotten
+    assert sorted(tuple(r) for r in old_reader.collect()) == [("a", 1, 5), ("b", 1, 2)]
+    assert forget(spark, folder, keep=1)
+    assert view(spark, folder) == [("a", 1, 6), ("b", 1, 2), ("z", 1, 1)]
+    assert len(store.names(spark, f"{folder}/data")) <= 2
+
+
+def test_of_two_writers_of_an_epoch_one_fails(spark, tmp_path):
+    folder = str(tmp_path / "sink")
+    buckets.publish_manifest(spark, folder, 4, {})
+    with pytest.raises(Exception, match="(?i)exist"):
+        buckets.publish_manifest(spark, folder, 4, {"1": "other"})
+    assert manifest(spark, folder) == {"epoch": 4, "buckets": {}}
+
+
+def lines(spark, folder, ids):
+    spark.range(1000).where(F.col("id").isin(ids)).select((F.col("id") % 3).alias("k")).write.mode("append").parquet(folder)
+
+
+def test_state_after_a_restart(spark, tmp_path):
+    folder = str(tmp_path)
+    for ids in (list(range(10)), list(range(10, 25))):
+        lines(spark, f"{folder}/in", ids)
+        counts = spark.readStream.schema("k bigint").parquet(f"{folder}/in").groupBy("k").count()
+        writer = bucket_writer(f"{folder}/sink", ["k"])
+        await_all(start({"c": counts}, folder, f"{folder}/ck", {"availableNow": True}, lambda _, w=writer: w))
+    want = sorted((k, len([i for i in range(25) if i % 3 == k])) for k in range(3))
+    assert sorted(tuple(r) for r in state_counts(spark, f"{folder}/ck/c").collect()) == want
+    assert sorted(tuple(r) for r in current_view(spark, f"{folder}/sink", "k bigint, count bigint").collect()) == want
+
+
+def test_watch_counts_rows_and_notes_failures(spark, tmp_path):
+    folder = str(tmp_path)
+    lines(spark, f"{folder}/in", list(range(10)))
+    watch = Watch()
+    spark.streams.addListener(watch)
+    try:
+
+        def fails(batch, epoch_id):
+            raise ValueError("sink is full")
+
+        counts = spark.readStream.schema("k bigint").parquet(f"{folder}/in").groupBy("k").count()
+        good = start({"good": counts}, f"{folder}/a", f"{folder}/ck", {"availableNow": True})
+        await_all(good)
+        bad = start({"bad": counts}, f"{folder}/b", f"{folder}/ck", {"availableNow": True}, lambda _: fails)
+        with pytest.raises(StreamingQueryException):
+            await_all(bad)
+        watch.settled(good + bad)
+    finally:
+        spark.streams.removeListener(watch)
+    assert watch.rows["good"] == 10 and watch.epochs["good"] >= 1 and watch.dropped["good"] == 0
+    assert set(watch.errors) == {"bad"} and "sink is full" in watch.errors["bad"]

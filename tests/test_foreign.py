@@ -7,6 +7,7 @@ import pytest
 from pyspark import cloudpickle
 
 from tidemark.operators import foreign
+from tidemark.sources.store import save_bytes
 
 
 def build():
@@ -32,7 +33,7 @@ def rows(spark):
 def test_same_as_local_scoring(spark, rows, tmp_path):
     table, data = rows
     model = build()
-    path = foreign.save_bytes(spark, str(tmp_path / "model.pkl"), cloudpickle.dumps(model))
+    path = save_bytes(spark, str(tmp_path / "model.pkl"), cloudpickle.dumps(model))
     got = foreign.scores(table, path, ["a", "b"], probability=True).orderBy("id").collect()
     x = np.array([[np.nan if a is None else a, b] for _, a, b in data])
     assert [r.prediction for r in got] == model.predict(x).tolist()
@@ -42,7 +43,7 @@ def test_same_as_local_scoring(spark, rows, tmp_path):
 
 def test_unpacked_once_per_task(spark, rows, tmp_path):
     table, _ = rows
-    path = foreign.save_bytes(spark, str(tmp_path / "model.pkl"), cloudpickle.dumps(build()))
+    path = save_bytes(spark, str(tmp_path / "model.pkl"), cloudpickle.dumps(build()))
     loaded = spark.sparkContext.accumulator(0)
 
     def loads(data):
@@ -62,6 +63,6 @@ def test_unpacked_once_per_task(spark, rows, tmp_path):
 def test_missing_and_large_files(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         foreign.ship(spark, str(tmp_path / "none.pkl"))
-    path = foreign.save_bytes(spark, str(tmp_path / "model.pkl"), b"x" * 100)
+    path = save_bytes(spark, str(tmp_path / "model.pkl"), b"x" * 100)
     with pytest.raises(ValueError, match="at most 10 bytes"):
         foreign.ship(spark, path, most=10)

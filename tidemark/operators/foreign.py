@@ -30,17 +30,6 @@ MOST_BYTES = 512 << 20
 PREDICTION, PROBABILITY = "prediction", "probability"
 
 
-def save_bytes(spark: SparkSession, path: str, data: bytes) -> str:
-    """Write a file to any store Spark reaches."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
-    try:
-        out.write(bytearray(data))
-    finally:
-        out.close()
-    return path
-
-
 def ship(spark: SparkSession, path: str, most: int = MOST_BYTES) -> Broadcast:
     """The bytes of a saved model, sent to the executors. A missing file, or one of more than ``most`` bytes, is an error."""
     files = spark.read.format("binaryFile").load(path)

@@ -23,7 +23,7 @@ from tidemark.plans.registry import query
 PRODUCT_THRESHOLD = 7
 CLIENT_THRESHOLD = 5
 
-_FIELDS = r"""
+FIELDS_SQL = r"""
   string_split(value, ' ')[1] AS ip,
   try_strptime(regexp_extract(value, '\[(.*?)\]', 1), '%d/%b/%Y:%H:%M:%S %z') AT TIME ZONE 'UTC' AS "timestamp",
   regexp_extract(value, '"(\w+) ', 1) AS "method",
@@ -32,7 +32,7 @@ _FIELDS = r"""
   TRY_CAST(string_split(value, ' ')[9] AS INTEGER) AS status,
   TRY_CAST(string_split(value, ' ')[10] AS INTEGER) AS "size" """
 
-PARSED_SQL = f"{LINES_SQL}, parsed AS (SELECT {_FIELDS} FROM lines)"
+PARSED_SQL = f"{LINES_SQL}, parsed AS (SELECT {FIELDS_SQL} FROM lines)"
 
 STATUS_COUNTS_SQL = f"""WITH {PARSED_SQL}
 SELECT status, count(*) AS "count" FROM parsed GROUP BY status"""
@@ -60,7 +60,7 @@ def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.parse(access_lines(table(spark, sf_dir, "events")))
 
 
-@query("log_parse", f"WITH {MESSY_SQL} SELECT event_id, {_FIELDS} FROM messy")
+@query("log_parse", f"WITH {MESSY_SQL} SELECT event_id, {FIELDS_SQL} FROM messy")
 def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = messy_lines(table(spark, sf_dir, "events"))
     messages = logs.decode(lines.withColumn("value", text.utf8(F.col("value"))))
