@@ -112,3 +112,27 @@ def test_runs_of_words():
     runs = d._Runs([d._hashes(["a b c d e"]).of(0), d._hashes(["x y"]).of(0)])
     assert [tuple(map(int, r)) for r in zip(*runs.find(words), strict=True)] == [(0, 0, 0), (2, 1, 0), (3, 0, 0), (3, 1, 0)]
     assert [len(x) for x in runs.find(d._hashes([None, "a b"]))] == [0, 0, 0]
+
+
+def test_a_whole_passage_of_a_long_item_is_enough(spark, documents):
+    rng = random.Random(5)
+    item = [f"q{i}" for i in range(200)]
+    prose = [f"w{rng.randrange(400)}" for _ in range(400)]
+    rows = [
+        (1, " ".join(prose[:200] + item[64:128] + prose[200:]), "en"),
+        (2, " ".join(prose[:200] + item[:128] + prose[200:]), "en"),
+        (3, " ".join(prose[:200] + item[100:120] + prose[200:]), "en"),
+        (4, " ".join(prose), "en"),
+    ]
+    benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")
+    got = {r["doc_id"]: r["contaminated"] for r in d.judge(documents(rows), benchmark).collect()}
+    assert got == {1: True, 2: True, 3: False, 4: False}
+
+
+def test_words_of_equal_polynomials_are_no_leak(spark, documents):
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    benchmark = spark.createDataFrame([(1, a)], "item_id bigint, text string")
+    got = {r["doc_id"]: r["contaminated"] for r in d.judge(documents([(1, b, "en"), (2, a, "en")]), benchmark).collect()}
+    assert got == {1: False, 2: True}

@@ -71,3 +71,25 @@ def test_number_of_parts_follows_the_similarity():
     for s in (0.8, 0.85, 0.95):
         m = parts_needed(s)
         assert 2 * (1 - s**3) ** m <= 1e-5 < 2 * (1 - s**3) ** (m - 1)
+
+
+def test_texts_of_one_id_are_linked(documents):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(300))
+    near = b.replace("b7 ", "c7 ")
+    table = documents([(5, a, "en"), (5, b, "en"), (3, b, "en"), (9, near, "en"), (9, "", "en"), (8, a + " tail", "en")])
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(table).collect())
+    assert got == [(3, 296, 3), (5, 36, 3), (5, 296, 3), (8, 37, 3), (9, 0, 9), (9, 296, 3)]
+
+
+def test_words_of_equal_polynomials_are_not_linked(documents):
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    got = rows(near_duplicates(documents([(3, a, "en"), (4, b, "en"), (5, f"{a} x", "en"), (6, f"{b} x", "en")])))
+    assert {r[2] for r in got} == {3, 4, 5, 6}
+
+
+def test_many_rows_of_one_id_and_text(documents):
+    text = " ".join(f"w{i}" for i in range(60))
+    table = documents([(1, text, "en")] * 400 + [(2, text.replace("w3 ", "v "), "en")])
+    assert {r[2] for r in rows(near_duplicates(table))} == {1}

@@ -56,3 +56,13 @@ def test_passage_repeated_inside_a_later_document(documents):
         p, y, z = ([f"{c}{turn}{rng.random()}" for _ in range(60)] for c in "pyz")
         texts = [(3, " ".join(p + z)), (5, " ".join((p + y) * 3))]
         assert rows(remove_repeats(documents([(i, t, "en") for i, t in texts]))) == brute(texts, 50)
+
+
+def test_windows_of_words_with_equal_polynomials_differ(documents):
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    words = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join([*words, a]), "en"), (2, " ".join([*words, b]), "en"), (3, " ".join([*words, a]), "en")]
+    got = {r["doc_id"]: r["n_removed"] for r in remove_repeats(documents(rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}

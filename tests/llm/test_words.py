@@ -28,6 +28,18 @@ def test_windows_tell_order_and_place():
     assert len(windows(h, 9)) == 0 and windows(Words(["b a"]).of(0), 2)[0] != windows(Words(["a b"]).of(0), 2)[0]
 
 
+def test_words_of_equal_polynomials_differ():
+    """Thue-Morse words have the same value in any odd base modulo 2^64."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    assert len(a) == 1024 and Words([a]).of(0)[0] != Words([b]).of(0)[0]
+    assert Words([a]).of(0)[0] != Words([a + a[:32]]).of(0)[0]
+    # letters beyond the table still count by place
+    long = "x" * 100
+    assert len({int(Words([long[:i] + "y" + long[i + 1 :]]).of(0)[0]) for i in range(100)}) == 100
+
+
 def test_steps_cover_all_and_never_split_a_text():
     texts = ["x" * n for n in (5, 0, 100, 3, 3, 50)] + [None]
     ranges = list(steps(texts, 10))

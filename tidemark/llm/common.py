@@ -18,8 +18,9 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 # For comparisons that overlook punctuation: every ASCII byte but letters and digits.
 _MARKS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 
-# Bytes of text that one vectorised step holds; a longer document is a step of its own.
-STEP_BYTES = 2 << 20
+# Characters of text that one vectorised step holds, so that its arrays stay in the cache; a longer document is a step of
+# its own.
+STEP_BYTES = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,17 +36,24 @@ def stream(seed: int, n: int) -> np.ndarray:
     return mix(steps_ + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
 
 
-_POWERS: dict[int, np.ndarray] = {}
+# Letters of a word that have table columns of their own.
+LETTERS = 32
 
+_TABLES: dict[int, np.ndarray] = {}
 
-def _powers(seed: int, n: int) -> np.ndarray:
-    have = _POWERS.get(seed)
-    if have is None or len(have) < n:
-        base = stream(seed + 77, 1)[0] | np.uint64(1)
-        have = np.cumprod(np.full(max(n, 64), base, dtype=np.uint64))
-        if n <= 1 << 16:
-            _POWERS[seed] = have
-    return have
+
+def _letter_numbers(letters: np.ndarray, place: np.ndarray, seed: int) -> np.ndarray:
+    """A number per letter and its place in the word, unrelated between letters and between places.
+
+    Sums of these tell words apart whatever their letters are; powers of one base would not, modulo 2^64.
+    """
+    if seed not in _TABLES:
+        _TABLES[seed] = stream(seed + 77, LETTERS * 256)
+    out = _TABLES[seed][((place & (LETTERS - 1)) << 8) | letters]
+    far = np.flatnonzero(place >= LETTERS)
+    if len(far):
+        out[far] = mix(out[far] + (place[far] // LETTERS).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return out
 
 
 def join_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -78,8 +86,7 @@ class Words:
             lengths = ends - starts
             at = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(at, lengths)
-            letters = stream(seed, 256)[buf[~space]]
-            letters *= _powers(seed, int(lengths.max()))[place]
+            letters = _letter_numbers(buf[~space], place, seed)
             self.hashes = mix(np.add.reduceat(letters, at) + lengths.astype(np.uint64))
 
     def count(self, i: int) -> int:

@@ -384,10 +384,17 @@ def common_subsequence(item: list[int], region: list[int]) -> int:
 
 
 def leaked(item: list[int], answer: frozenset[int], region: list[int]) -> tuple[bool, float]:
-    """Whether a region of a document gives the item away, and the share of the item's words in common order."""
+    """Whether a region of a document gives the item away, and the share of the item's words in common order.
+
+    Of an item longer than a passage, any of its whole passages gives it away too.
+    """
     share = common_subsequence(item, region) / len(item)
     if share >= VERBATIM:
         return True, share
+    if len(item) > PASSAGE:
+        for at in range(0, len(item) - PASSAGE + 1, PASSAGE):
+            if common_subsequence(item[at : at + PASSAGE], region) >= VERBATIM * PASSAGE:
+                return True, share
     present = len(answer & set(region)) / max(1, len(answer))
     return share >= PARAPHRASE and present >= ANSWER, share
 

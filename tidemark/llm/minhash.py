@@ -87,7 +87,7 @@ def _signatures(size: int, m: int, part: int):
 
 
 def _confirm(size: int, times: int, least: int):
-    """Of the pairs of a group, those that are similar enough; the group has each text once."""
+    """Of the pairs of a group, those that are similar enough. Rows that repeat an id and a text count once."""
 
     def run(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
         sets: dict[int, list[np.ndarray]] = {}
@@ -95,7 +95,9 @@ def _confirm(size: int, times: int, least: int):
         for lo, hi in steps(held):
             words = Words(held[lo:hi], lower=True)
             for i in range(lo, hi):
-                sets.setdefault(int(texts["id"].iloc[i]), []).append(shingles(words, i - lo, size))
+                own, known = shingles(words, i - lo, size), sets.setdefault(int(texts["id"].iloc[i]), [])
+                if not any(np.array_equal(own, other) for other in known):
+                    known.append(own)
         a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
         keep = np.zeros(len(pairs), dtype=bool)
         for i in range(len(pairs)):
@@ -173,7 +175,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: Fraction | str =
     )
     classes = cut_lineage(classes, "classes")
     links = _links(classes, rows, size, similarity, m)
-    joined = components(links)
+    joined = components(links.union(_same_document(found, classes, same)))
     moved = (
         classes.join(joined.withColumnRenamed("node", "id"), "id", "left")
         .select(*same, "id", "last", F.coalesce("component", "id").alias("component"))
@@ -190,6 +192,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: Fraction | str =
     )
 
 
+def _same_document(found: DataFrame, classes: DataFrame, same: list[str]) -> DataFrame:
+    """Links between the classes of a doc_id that holds several of them: texts that differ under one id."""
+    rows = found.where("doc_id is not null and n_shingles > 0")
+    several = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    held = rows.join(cut_lineage(several, "several"), "doc_id").select("doc_id", *same).distinct()
+    ids = held.join(classes.select(*same, "id"), same).groupBy("doc_id")
+    ends = ids.agg(F.min("id").alias("a"), F.sort_array(F.collect_set("id")).alias("ids"))
+    return ends.select("a", F.explode("ids").alias("b")).where("a <> b")
+
+
 def _buckets(classes: DataFrame, m: int) -> DataFrame:
     """``key``, ``id``, ``center`` (smallest id of the bucket) for all buckets of two classes or more."""
     halves = classes.select("id", F.posexplode("parts").alias("slot", "part"))
@@ -218,17 +230,19 @@ def _links(classes: DataFrame, rows: DataFrame, size: int, similarity: Fraction,
     wanted = buckets.select("id").distinct()
     texts = rows.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "text")
     texts = cut_lineage(texts, "texts")
-    sizes = cut_lineage(classes.groupBy("id").agg(F.max("n_shingles").alias("n")).join(wanted, "id"), "sizes")
+    # an id may hold several texts, whose sizes make a range
+    span = classes.groupBy("id").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    sizes = cut_lineage(span.join(wanted, "id"), "sizes")
     places = cut_lineage(_blocks(buckets).join(sizes, "id"), "places")
     top, bottom = similarity.numerator, similarity.denominator
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among distinct pairs. A text goes once to each group of pairs that needs it, not to each pair."""
-        n_a, n_b = F.col("n_a"), F.col("n_b")
         possible = (
-            pairs.join(places.toDF("a", "block_a", "n_a"), "a")
-            .join(places.toDF("b", "block_b", "n_b"), "b")
-            .where(F.least(n_a, n_b) * bottom >= F.greatest(n_a, n_b) * top)
+            pairs.join(places.toDF("a", "block_a", "least_a", "most_a"), "a")
+            .join(places.toDF("b", "block_b", "least_b", "most_b"), "b")
+            .where(F.col("most_a") * bottom >= F.col("least_b") * top)
+            .where(F.col("most_b") * bottom >= F.col("least_a") * top)
         )
         possible = cut_lineage(possible.select("a", "b", F.xxhash64("block_a", "block_b").alias("cell")), "possible")
         groups = 1 + possible.count() // GROUP_PAIRS
@@ -268,7 +282,7 @@ def _links(classes: DataFrame, rows: DataFrame, size: int, similarity: Fraction,
             outside = members.join(chosen, ["key", "id"])
         x, y = outside.alias("x"), members.alias("y")
         differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in sketch), F.lit(0))
-        similar_size = F.least("x.n", "y.n") * bottom >= F.greatest("x.n", "y.n") * top
+        similar_size = (F.col("x.most") * bottom >= F.col("y.least") * top) & (F.col("y.most") * bottom >= F.col("x.least") * top)
         apart = F.col("x.component") != F.col("y.component")
         # a pair that meets in several tables is judged in the first of them
         for i in range(m):
