@@ -101,15 +101,17 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
 
 
 class _Lookup:
-    """Places of hashes in a sorted array; most misses are told by 20 bits alone."""
+    """Places of hashes in a sorted array; most misses are told by a few bits alone."""
 
     def __init__(self, known: np.ndarray):
         self.known = known
-        self.low = np.zeros(1 << 20, dtype=bool)
-        self.low[known & np.uint64((1 << 20) - 1)] = True
+        bits = max(16, (16 * len(known)).bit_length())
+        self.mask = np.uint64((1 << bits) - 1)
+        self.low = np.zeros(1 << bits, dtype=bool)
+        self.low[known & self.mask] = True
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        maybe = np.flatnonzero(self.low[hashes & np.uint64((1 << 20) - 1)])
+        maybe = np.flatnonzero(self.low[hashes & self.mask])
         if not len(maybe) or not len(self.known):
             return maybe[:0], maybe[:0]
         at = np.searchsorted(self.known, hashes[maybe]).clip(max=len(self.known) - 1)
@@ -242,7 +244,7 @@ class Passages:
         return np.add.reduceat(idf[self.terms] ** 2, self.first[:-1]) if len(self) else np.zeros(0)
 
 
-def _chunks(batch: pd.DataFrame, size: int = 500) -> Iterator[tuple[pd.DataFrame, list[tuple[np.ndarray, np.ndarray]]]]:
+def _chunks(batch: pd.DataFrame, size: int = 64) -> Iterator[tuple[pd.DataFrame, list[tuple[np.ndarray, np.ndarray]]]]:
     for at in range(0, len(batch), size):
         part = batch.iloc[at : at + size]
         yield part, [(np.asarray(p), np.asarray(t)) for p, t in zip(part["places"], part["terms"], strict=True)]
@@ -386,15 +388,20 @@ def common_subsequence(item: list[int], region: list[int]) -> int:
 def leaked(item: list[int], answer: frozenset[int], region: list[int]) -> tuple[bool, float]:
     """Whether a region of a document gives the item away, and the share of the item's words in common order.
 
-    Of an item longer than a passage, any of its whole passages gives it away too.
+    Of an item longer than a passage, any of its whole passages gives it away too. Where fewer of the item's words occur
+    at all, in any order, nothing is given away and the share is not computed.
     """
+    held = set(region)
+    occurs = [word in held for word in item]
+    wholes = range(0, len(item) - PASSAGE + 1, PASSAGE) if len(item) > PASSAGE else ()
+    if sum(occurs) < PARAPHRASE * len(item) and all(sum(occurs[at : at + PASSAGE]) < VERBATIM * PASSAGE for at in wholes):
+        return False, 0.0
     share = common_subsequence(item, region) / len(item)
     if share >= VERBATIM:
         return True, share
-    if len(item) > PASSAGE:
-        for at in range(0, len(item) - PASSAGE + 1, PASSAGE):
-            if common_subsequence(item[at : at + PASSAGE], region) >= VERBATIM * PASSAGE:
-                return True, share
+    for at in wholes:
+        if common_subsequence(item[at : at + PASSAGE], region) >= VERBATIM * PASSAGE:
+            return True, share
     present = len(answer & set(region)) / max(1, len(answer))
     return share >= PARAPHRASE and present >= ANSWER, share
 
