@@ -19,20 +19,41 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def _by_text(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of some ids, one per id and text, as ``row`` with a number ``_row`` of their own.
+
+    The first text of an id keeps the id as its number; the others get numbers beyond all ids.
+    """
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    rows = docs.join(ids, "doc_id", "left_semi").select(whole.alias("row"))
+    text = F.xxhash64(F.col("row.text").cast("string"))
+    one = rows.groupBy(F.col("row.doc_id").alias("_id"), text.alias("_text")).agg(
+        F.min_by("row", F.xxhash64(F.col("row"))).alias("row")
+    )
+    first = one.groupBy("_id").agg(F.min("_text").alias("_first"))
+    beyond = F.lit(1 << 62) + F.xxhash64("_id", "_text").bitwiseAND(F.lit((1 << 61) - 1))
+    number = F.when(F.col("_text") == F.col("_first"), F.col("_id").cast("bigint")).otherwise(beyond)
+    return one.join(first, "_id").select("row", number.alias("_row"))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (5-word shingles, similarity 0.8): the smallest doc_id.
 
-    Rows that repeat a whole document, or only its doc_id, are one document; the first by text stays. Documents
-    without words and rows with a null doc_id have no near-duplicates and stay.
+    Rows that repeat an id and a text are one document; other texts of the same id are documents of their own.
+    Documents without words and rows with a null doc_id have no near-duplicates and stay.
     """
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
-    # rows of one id are one document; only ids that do repeat are grouped
     counts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     repeated = cut_lineage(counts.where("_n > 1").select("doc_id"), "repeated")
-    first = F.min_by(F.struct(*docs.columns), F.struct(F.col("text"), F.xxhash64(*docs.columns))).alias("row")
-    grouped = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("row.*")
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(grouped.select(*docs.columns))
+    if repeated.isEmpty():
+        gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
+        return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    single = docs.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    several = cut_lineage(_by_text(docs, repeated), "several")
+    texts = single.select("doc_id", "text").union(several.select("_row", "row.text"))
+    gone = minhash.near_duplicates(texts).where("not kept").select(F.col("doc_id").alias("_gone"))
+    gone = cut_lineage(gone, "gone")
+    kept = single.join(gone, single["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    return kept.union(several.join(gone, several["_row"] == gone["_gone"], "left_anti").select("row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
