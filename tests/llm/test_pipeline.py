@@ -37,13 +37,26 @@ def test_odd_rows_pass_every_stage(spark, documents):
             assert docs.columns == columns
         if name == "near-duplicates":
             ids = sorted(str(r["doc_id"]) for r in docs.collect())
-            assert ids == [*(str(10**6 + i) for i in range(1, 6)), "None", "None"]
+            # both texts of one id stay, its repeated row goes
+            assert ids == [*(str(10**6 + i) for i in (1, 2, 3, 3, 4, 5)), "None", "None"]
         if name == "personal data":
             mail = docs.where(f"doc_id = {10**6 + 4}").first()
             assert (mail["text"], mail["n_chars"]) == ("mail [EMAIL] now", 16)
     assert {r["doc_id"] for r in docs.collect()} == {None, *range(10**6 + 1, 10**6 + 6)}
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark, documents):
+    texts = [" ".join(f"{c}{i}" for i in range(80)) for c in "abc"]
+    near = texts[0].replace("a7 ", "z ")
+    rows = [(1, texts[0], "en"), (1, texts[1], "en"), (2, near, "en"), (3, texts[2], "en"), (4, near, "en"), (4, texts[2], "en"),
+            (4, texts[1], "en"), (5, "short", "en"), (5, "other", "en")]
+    kept = corpus_pipeline.near_duplicate_stage(spark, documents(rows), SF)
+    got = sorted(r["text"] for r in kept.collect())
+    assert len(got) == 5 and {"short", "other", texts[1], texts[2]} <= set(got)
+    assert got.count(texts[0]) + got.count(near) == 1
+    assert kept.columns == documents(rows).columns
+
+
 def test_every_operator_is_registered_once():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
     assert numbers == list(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
