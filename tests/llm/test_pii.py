@@ -78,3 +78,42 @@ def test_masked_text_and_odd_rows(documents):
     assert got.columns == table.columns and got.count() == 4
     assert {r["text"] for r in got.collect()} == {"mail [EMAIL], [CARD] é [IP]", None, "", "plain"}
     assert pii.find(table.limit(0)).count() == 0 and pii.masked(table.limit(0)).count() == 0
+
+
+def test_many_matches_in_one_text(documents):
+    """More matches than a block holds, cells that spans straddle, runs of digits, and spans of two kinds that overlap."""
+    some = " ".join(f"é👍 u{i}@ex{i % 7}.com 10.0.{i % 300}.1 +1 (826) 555-4{i:03} {CARD}" for i in range(400))
+    texts = {
+        1: some,
+        2: "x" * 1020 + " a@b.co" + "y" * 2047 + "! 8.8.8.8" + "z" * 3000,
+        3: "漢" * 1024 + "8.8.8.8" + "é" * (2 * 1024 - 7) + "1.1.1.1",
+        4: "9" * 12_000,
+        5: "1 " * 10_000 + "+" + "2." * 5_000,
+        6: "mail u@1.2.3.4 or 1.2.3.4@b.co, a@b.co(dot)uk",
+        7: "a@b." * 2000,
+    }
+    table = documents([(i, t, "en") for i, t in texts.items()])
+    found = {r["doc_id"]: r for r in pii.find(table).collect()}
+    masked = {r["doc_id"]: r["text"] for r in pii.masked(table).collect()}
+    for i, text in texts.items():
+        assert [tuple(s) for s in found[i]["base"]] == base(text), i
+        want, at = [], 0
+        for start, end, kind in sorted((s["start"], s["end"], s["kind"]) for s in found[i]["spans"]):
+            if start >= at:
+                want.append(f"{text[at:start]}[{kind.upper()}]")
+                at = end
+        assert masked[i] == "".join(want) + text[at:], i
+
+
+def test_candidates_against_all_base_spans(documents):
+    """Votes and overlaps, compared with a look at every pair."""
+    rows = [(i, f"{CARD} 4539-5787-6362-1486 x@y(dot)co a@b.co(dot)uk +1 (826) 555-4081 1.2.3.4 +44 20 7946 0958 1.2.3.4.5 " * (1 + 70 * i), "en") for i in range(3)]
+    for r in pii.annotate(documents(rows), "doc_id", "text").collect():
+        text = r["text"]
+        for kind in pii.KINDS:
+            every = [(m.start(), m.end()) for m in re.finditer(PLAIN[kind], text)]
+            spans = [(s, e) for k, s, e in base(text) if k == kind]
+            near = [(m.start(), m.end()) for m in re.finditer(pii.CANDIDATES[kind], text)]
+            assert [tuple(s) for s in r[f"base_{kind}"]] == spans
+            assert [(s["start"], s["end"]) for s in r[f"more_{kind}"]] == [n for n in near if all(n[1] <= b[0] or b[1] <= n[0] for b in spans)]
+            assert [v.split(":")[1][0] for v in r[f"votes_{kind}"]] == ["+" if n in spans else "-" if n in every else "0" for n in near]

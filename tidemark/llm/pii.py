@@ -13,7 +13,7 @@ There are at most 81 vote patterns per kind, so counts, model and accepted patte
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,23 +57,79 @@ CUES = {
 }
 CUE_LENGTH = 24
 ROUNDS = 100
-SPAN = "struct<start:bigint,end:bigint,text:string>"
+# Elements that grow by one copy each; whole blocks are then put together. It bounds the work per match.
+BLOCK = 128
+# Code points of a text that are looked at for one place in it.
+CELL = 1024
+FOUND = "struct<start:bigint,end:bigint,text:string,before:string,after:string>"
+JUDGED = "struct<start:bigint,end:bigint,votes:string,covered:boolean>"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Matches of a pattern with their places in code points; the text between them gives the distances."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def step(held: Column, pair: Column) -> Column:
-        start = held["at"] + F.length(pair["0"])
-        end = start + F.length(pair["1"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["1"].alias("text"))
-        return F.struct(end.alias("at"), F.array_append(held["found"], span).alias("found"))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("found"))
-    pairs = F.arrays_zip(F.slice(between, 1, F.size(matches)).alias("0"), matches.alias("1"))
-    return F.aggregate(pairs, start, step, lambda held: held["found"])
+def running(items: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """What ``step(state, item)``, a new state and an output of type ``kind``, puts out for each item in order.
+
+    Appending copies an array, so outputs are gathered in blocks: the work per item doesn't grow with their number.
+    """
+
+    def one(held: Column, item: Column) -> Column:
+        state, out = step(held["state"], item)
+        return F.struct(state.alias("state"), F.array_append(held["found"], out).alias("found"))
+
+    def block(held: Column, part: Column) -> Column:
+        begin = F.struct(held["state"].alias("state"), F.array().cast(f"array<{kind}>").alias("found"))
+        return _let(
+            F.aggregate(part, begin, one),
+            lambda done: F.struct(done["state"].alias("state"), F.array_append(held["parts"], done["found"]).alias("parts")),
+        )
+
+    def whole(items: Column) -> Column:
+        last = F.floor((F.size(items) - 1) / BLOCK).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK)))
+        begin = F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("parts"))
+        none = F.array().cast(f"array<{kind}>")
+        return F.when(F.size(items) > 0, F.aggregate(parts, begin, block, lambda held: F.flatten(held["parts"]))).otherwise(none)
+
+    return _let(items, whole)
+
+
+def located(text: Column, matches: Column, pattern: str) -> Column:
+    """Matches of a pattern with their places in code points, the text before them and the letter after them.
+
+    The text between the matches gives the distances; a text without matches is not split.
+    """
+
+    def step(held: Column, item: Column) -> tuple[Column, Column]:
+        start = held["at"] + F.length(item["gap"])
+        end = start + F.length(item["match"])
+        before = F.right(F.concat(held["tail"], item["gap"]), F.lit(CUE_LENGTH))
+        after = F.when(item["rest"] != "", item["rest"]).otherwise(F.coalesce(item["next"], F.lit("")))
+        out = F.struct(
+            start.alias("start"),
+            end.alias("end"),
+            item["match"].alias("text"),
+            before.alias("before"),
+            F.substring(after, 1, 1).alias("after"),
+        )
+        tail = F.right(F.concat(before, item["match"]), F.lit(CUE_LENGTH))
+        return F.struct(end.alias("at"), tail.alias("tail")), out
+
+    def zipped(between: Column) -> Column:
+        n = F.size(matches)
+        return F.arrays_zip(
+            F.slice(between, 1, n).alias("gap"),
+            matches.alias("match"),
+            F.slice(between, 2, n).alias("rest"),
+            F.slice(matches, 2, n).alias("next"),
+        )
+
+    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("tail"))
+    found = running(_let(F.split(text, pattern, -1), zipped), zero, step, FOUND)
+    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(f"array<{FOUND}>"))
 
 
 def _digits(text: Column) -> Column:
@@ -81,17 +137,18 @@ def _digits(text: Column) -> Column:
 
 
 def _luhn(text: Column) -> Column:
-    turned = F.reverse(_digits(text))
+    def total(turned: Column) -> Column:
+        def add(total: Column, place: Column) -> Column:
+            digit = F.substring(turned, place, F.lit(1)).cast("int")
+            twice = F.when(digit > 4, digit * 2 - 9).otherwise(digit * 2)
+            return total + F.when(place % 2 == 0, twice).otherwise(digit)
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add)
 
-    def add(total: Column, place: Column) -> Column:
-        digit = F.substring(turned, place, F.lit(1)).cast("int")
-        twice = F.when(digit > 4, digit * 2 - 9).otherwise(digit * 2)
-        return total + F.when(place % 2 == 0, twice).otherwise(digit)
+    def check(turned: Column) -> Column:
+        return F.when(F.length(turned).between(13, 19), total(turned) % 10 == 0).otherwise(F.lit(False))
 
-    n = F.length(turned)
-    return F.when(
-        n.between(13, 19), F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add) % 10 == 0
-    ).otherwise(F.lit(False))
+    return _let(F.reverse(_digits(text)), check)
 
 
 def valid(kind: str, text: Column) -> Column:
@@ -105,63 +162,96 @@ def valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def _guarded(text: Column, kind: str, pattern: str) -> Column:
-    found = located(text, pattern)
-    return F.when(F.contains(text, F.lit(NEEDED[kind])), found).otherwise(F.array().cast(f"array<{SPAN}>")) if NEEDED[kind] else found
+def _matches(text: Column, kind: str, pattern: str) -> Column:
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if not NEEDED[kind]:
+        return found
+    return F.when(F.contains(text, F.lit(NEEDED[kind])), found).otherwise(F.array().cast("array<string>"))
 
 
-def _votes(kind: str, text: Column, span: Column, matches: Column, base: Column) -> Column:
-    """Votes of the four labelers on a candidate, as a text of ``+``, ``0`` and ``-``."""
-    same = lambda x: (x["start"] == span["start"]) & (x["end"] == span["end"])
-    pattern = F.when(F.exists(base, same), "+").when(F.exists(matches, same), "-").otherwise("0")
+def _own_votes(kind: str, span: Column) -> Column:
+    """Votes of structure, gazetteer and context on a candidate, as a text of ``+``, ``0`` and ``-``."""
     structure = F.when(valid(kind, span["text"]), "+").otherwise("-")
     known = F.when(F.rlike(span["text"], F.lit(KNOWN[kind])), "+").otherwise("-")
-    begin = F.greatest(span["start"] - CUE_LENGTH, F.lit(0))
-    before = F.lower(F.substring(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int")))
-    around = F.concat(
-        F.substring(text, span["start"].cast("int"), F.when(span["start"] > 0, 1).otherwise(0)),
-        F.substring(text, (span["end"] + 1).cast("int"), F.lit(1)),
-    )
-    context = F.when(F.rlike(before, F.lit(CUES[kind])), "+").when(F.rlike(around, F.lit(r"[\p{L}\p{N}@_=]")), "-").otherwise("0")
-    return F.concat(F.lit(kind + ":"), pattern, structure, known, context)
-
+    around = F.concat(F.right(span["before"], F.lit(1)), span["after"])
+    announced = F.rlike(F.lower(span["before"]), F.lit(CUES[kind]))
+    context = F.when(announced, "+").when(F.rlike(around, F.lit(r"[\p{L}\p{N}@_=]")), "-").otherwise("0")
+    return F.concat(structure, known, context)
 
-def _is_valid(kind: str):
-    return lambda x: valid(kind, x["text"])
 
+def _judged(kind: str, matches: Column, near: Column) -> Column:
+    """Candidates with their votes, and whether a base span covers a part of them.
 
-def _with_votes(kind: str, text: Column, matches: Column, base: Column):
-    return lambda x: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), _votes(kind, text, x, matches, base).alias("votes")
+    Neither matches nor candidates overlap one another. So of the matches that start before a candidate's end, the last
+    one is the only one that can be equal to it, and the last good one the only one that can overlap it.
+    """
+    no = F.lit(None)
+
+    def candidate(x: Column) -> Column:
+        return _event(x["end"], 0, x, no.cast("boolean"), _own_votes(kind, x))
+
+    def match(x: Column) -> Column:
+        return _event(x["start"], 1, x, x["good"], no.cast("string"))
+
+    def step(held: Column, x: Column) -> tuple[Column, Column]:
+        same = (held["start"] == x["start"]) & (held["end"] == x["end"])
+        pattern = F.when(same & held["good"], "+").when(same, "-").otherwise("0")
+        out = F.struct(
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            F.concat(F.lit(kind + ":"), pattern, x["votes"]).alias("votes"),
+            (held["last"] > x["start"]).alias("covered"),
+        )
+        last = F.when(x["good"], x["end"]).otherwise(held["last"])
+        passed = F.struct(x["start"].alias("start"), x["end"].alias("end"), x["good"].alias("good"), last.alias("last"))
+        return F.when(x["order"] == 0, held).otherwise(passed), out
+
+    nowhere = F.lit(-1).cast("bigint")
+    zero = F.struct(nowhere.alias("start"), nowhere.alias("end"), F.lit(False).alias("good"), nowhere.alias("last"))
+    events = F.sort_array(F.concat(F.transform(matches, match), F.transform(near, candidate)))
+    judged = F.filter(running(events, zero, step, JUDGED), lambda x: x["votes"].isNotNull())
+    return F.when(F.size(near) > 0, judged).otherwise(F.array().cast(f"array<{JUDGED}>"))
+
+
+def _event(at: Column, order: int, span: Column, good: Column, votes: Column) -> Column:
+    return F.struct(
+        at.alias("at"),
+        F.lit(order).alias("order"),
+        span["start"].alias("start"),
+        span["end"].alias("end"),
+        good.alias("good"),
+        votes.alias("votes"),
     )
 
 
-def _apart(base: Column):
-    return lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+def _checked(kind: str) -> Callable[[Column], Column]:
+    return lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), valid(kind, x["text"]).alias("good"))
 
 
 def annotate(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` columns, and per kind: ``base_<kind>`` (start, end), ``more_<kind>`` (start, end, votes) for
-    candidates off all base spans of the kind, and ``votes_<kind>`` of every candidate. Null text counts as empty."""
+    candidates off all base spans of the kind, and ``votes_<kind>`` of every candidate. Null text counts as empty.
+
+    The work per match does not grow with the matches or the length of a text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(*keep, text.alias("_text"))
     text = F.col("_text")
-    for kind in KINDS:
-        rows = rows.withColumn(f"_all_{kind}", _guarded(text, kind, BASE[kind]))
-        rows = rows.withColumn(f"_near_{kind}", _guarded(text, kind, CANDIDATES[kind]))
-    for kind in KINDS:
-        rows = rows.withColumn(f"_base_{kind}", F.filter(f"_all_{kind}", _is_valid(kind)))
-    for kind in KINDS:
-        voted = _with_votes(kind, text, F.col(f"_all_{kind}"), F.col(f"_base_{kind}"))
-        rows = rows.withColumn(f"_near_{kind}", F.transform(f"_near_{kind}", voted))
+    # a step's columns are used more than once by the next, so that they are evaluated once
+    found = {f"_all_{k}": _matches(text, k, BASE[k]) for k in KINDS} | {f"_near_{k}": _matches(text, k, CANDIDATES[k]) for k in KINDS}
+    rows = rows.withColumns(found)
+    patterns = {f"_all_{k}": BASE[k] for k in KINDS} | {f"_near_{k}": CANDIDATES[k] for k in KINDS}
+    rows = rows.select(*keep, *[located(text, F.col(c), pattern).alias(c) for c, pattern in patterns.items()])
+    rows = rows.withColumns({f"_all_{k}": F.transform(f"_all_{k}", _checked(k)) for k in KINDS})
+    rows = rows.withColumns({f"_near_{k}": _judged(k, F.col(f"_all_{k}"), F.col(f"_near_{k}")) for k in KINDS})
     columns = []
+    place = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))
+    voted = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["votes"].alias("votes"))
     for kind in KINDS:
-        base, near = F.col(f"_base_{kind}"), F.col(f"_near_{kind}")
-        plain = F.transform(base, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+        apart = F.filter(f"_near_{kind}", lambda x: ~x["covered"])
         columns += [
-            plain.alias(f"base_{kind}"),
-            F.filter(near, _apart(base)).alias(f"more_{kind}"),
-            F.transform(near, lambda x: x["votes"]).alias(f"votes_{kind}"),
+            F.transform(F.filter(f"_all_{kind}", lambda x: x["good"]), place).alias(f"base_{kind}"),
+            F.transform(apart, voted).alias(f"more_{kind}"),
+            F.transform(f"_near_{kind}", lambda x: x["votes"]).alias(f"votes_{kind}"),
         ]
     return rows.select(*keep, *columns)
 
@@ -245,7 +335,7 @@ def spans(annotated: DataFrame, accepted: list[str], *keep: str) -> DataFrame:
     return annotated.select(
         *keep,
         F.concat(*base.values()).alias("base"),
-        F.concat(*[F.array_sort(F.concat(base[k], more[k])) for k in KINDS]).alias("spans"),
+        F.concat(*[F.sort_array(F.concat(base[k], more[k])) for k in KINDS]).alias("spans"),
     )
 
 
@@ -259,27 +349,48 @@ def find(docs: DataFrame) -> DataFrame:
     return spans(annotated, fit(annotated), "doc_id")
 
 
+def _part(cells: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text that is cut into cells."""
+    first, last = F.floor(start / CELL).cast("int"), F.floor(end / CELL).cast("int")
+    skip, rest = (start % CELL).cast("int"), (end % CELL).cast("int")
+    cell = lambda at: F.coalesce(F.get(cells, at), F.lit(""))
+    within = F.substring(cell(first), skip + 1, (end - start).cast("int"))
+    across = F.concat(
+        F.substring(cell(first), skip + 1, F.lit(CELL)),
+        F.array_join(F.slice(cells, first + 2, last - first - 1), ""),
+        F.substring(cell(last), F.lit(1), rest),
+    )
+    return F.when(first == last, within).otherwise(across)
+
+
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; other columns unchanged.
 
-    Where spans of different kinds overlap, the one that starts first is replaced. Null text stays null.
+    Where spans of different kinds overlap, the one that starts first is replaced. Null text stays null. Texts are
+    searched once; what was found is written next to the rows.
     """
-    accepted = fit(annotate(docs))
     columns = docs.columns
-    found = spans(annotate(docs.withColumn("_row", F.struct(*columns)), "_row", "text"), accepted, "_row", "text")
-    ordered = F.array_sort(
+    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), "text")
+    annotated = cut_lineage(annotate(rows, "_row"), "annotated")
+    found = spans(annotated, fit(annotated), "_row")
+    text = F.col("_row.text").cast("string")
+    ordered = F.sort_array(
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    text = F.col("text").cast("string")
+    cells = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CELL}}}"), F.lit(0))
+    found = found.select("_row", ordered.alias("_spans")).withColumn("_cells", F.when(F.size("_spans") > 0, cells))
+
+    def passed(held: Column, span: Column) -> Column:
+        return F.when(span["start"] < held, held).otherwise(span["end"])
 
-    def step(held: Column, span: Column) -> Column:
-        before = F.substring(text, (held["at"] + 1).cast("int"), (span["start"] - held["at"]).cast("int"))
-        out = F.concat(held["out"], before, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        return F.when(span["start"] < held["at"], held).otherwise(F.struct(span["end"].alias("at"), out.alias("out")))
+    def step(held: Column, span: Column) -> tuple[Column, Column]:
+        out = F.concat(_part(F.col("_cells"), held, span["start"]), F.lit("["), F.upper(span["kind"]), F.lit("]"))
+        return passed(held, span), F.when(span["start"] < held, "").otherwise(out)
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    rest = lambda held: F.concat(held["out"], F.substring(text, (held["at"] + 1).cast("int"), F.length(text)))
-    clean = F.when(F.size(ordered) == 0, text).otherwise(F.aggregate(ordered, start, step, rest))
+    first = F.lit(0).cast("bigint")
+    rest = _part(F.col("_cells"), F.aggregate("_spans", first, passed), F.length(text).cast("bigint"))
+    replaced = F.concat(F.array_join(running(F.col("_spans"), first, step, "string"), ""), rest)
+    clean = F.when(F.size("_spans") > 0, replaced).otherwise(text)
     return found.select("_row", clean.alias("_clean")).select(
         *[F.col("_clean").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in columns]
     )
