@@ -136,3 +136,20 @@ def test_words_of_equal_polynomials_are_no_leak(spark, documents):
     benchmark = spark.createDataFrame([(1, a)], "item_id bigint, text string")
     got = {r["doc_id"]: r["contaminated"] for r in d.judge(documents([(1, b, "en"), (2, a, "en")]), benchmark).collect()}
     assert got == {1: False, 2: True}
+
+
+def test_texts_are_split_into_words_once(spark, documents, monkeypatch):
+    """A leak through an answer of words that no item holds, with one pass over the texts and none joined to them."""
+    item, answer = [f"i{k}" for k in range(20)], "the hidden word"
+    rows = [(1, " ".join(["x", *item[:12], "y", "hidden", "word", "the"]), "en"), (2, " ".join(item[:12]), "en"), (3, "x y", "en")]
+    benchmark = spark.createDataFrame([(7, " ".join(item), answer)], "item_id bigint, text string, answer string")
+    passes, real = [], d.cut_lineage
+
+    def cut(df, name):
+        passes.append((name, "text" in df.columns, df._jdf.queryExecution().optimizedPlan().toString().count("Join")))
+        return real(df, name)
+
+    monkeypatch.setattr(d, "cut_lineage", cut)
+    got = {r["doc_id"]: (r["contaminated"], round(r["share"], 6)) for r in d.judge(documents(rows), benchmark).collect()}
+    assert got == {1: (True, 0.6), 2: (False, 0.0), 3: (False, 0.0)}
+    assert passes == [("hits", False, 0), ("leaks", False, 0)]

@@ -8,6 +8,9 @@ every document is compared with every benchmark passage by the cosine in this sp
 of an item in a row, it is a candidate too, however common these words are. Candidates are confirmed by the
 longest common subsequence of words, or, for a paraphrase, by a shorter one together with the words of the answer.
 
+Texts are split into words once: what a document shares with the words of the benchmark and its answers is written, and
+counts, space, candidates and confirmation work on that; other words match nothing.
+
 A benchmark is taken in blocks of ``BLOCK_PASSAGES``, each with its own terms and space, so that terms, matrices and
 what is sent to the tasks have a fixed bound: at most ``BLOCK_PASSAGES * PASSAGE`` terms.
 """
@@ -19,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, as_list, mix, steps, windows
+from tidemark.llm.common import Words, mix, steps, windows
 from tidemark.session import cut_lineage
 
 # Words of a passage, and words between the beginnings of a document's passages.
@@ -54,7 +58,7 @@ def _hashes(texts: list[str | None]) -> Words:
 
 @dataclass
 class Block:
-    """Items of a benchmark block, their passages, and the words in them."""
+    """Items of a benchmark block, their passages, and the words in them and in the answers."""
 
     ids: list[int]
     words: list[np.ndarray]
@@ -79,7 +83,8 @@ def _block(rows: list) -> Block:
         ids.append(int(row["item_id"]))
         words.append(own)
         answers.append(frozenset(answer.tolist()))
-    vocabulary = np.unique(np.concatenate(words)) if words else np.empty(0, np.uint64)
+    held = [*words, *(np.fromiter(a, np.uint64, len(a)) for a in answers)]
+    vocabulary = np.unique(np.concatenate(held)) if held else np.empty(0, np.uint64)
     return Block(ids, words, answers, np.asarray(owner, dtype=np.int64), passages, vocabulary)
 
 
@@ -119,20 +124,22 @@ class _Lookup:
         return maybe[same], at[same]
 
 
-def _frequencies(vocabulary: np.ndarray):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup, total, docs = _Lookup(vocabulary), np.zeros(len(vocabulary), np.int64), 0
+def _lists(batch: pa.RecordBatch, name: str, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of some rows of a list column: all values, and the row of each."""
+    part = batch.column(name).slice(lo, hi - lo)
+    sizes = np.diff(part.offsets.to_numpy())
+    return part.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(hi - lo), sizes)
+
+
+def _frequencies(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            texts = as_list(batch["text"])
-            docs += len(texts)
-            for lo, hi in steps(texts):
-                words = _hashes(texts[lo:hi])
-                place, term = lookup.find(words.hashes)
-                owner = np.searchsorted(words.first, place, side="right")
-                pairs = np.unique(owner * len(vocabulary) + term)
-                total += np.bincount(pairs % max(1, len(vocabulary)), minlength=len(vocabulary))
+            for lo in range(0, batch.num_rows, 1024):
+                words, owner = _lists(batch, "words", lo, min(lo + 1024, batch.num_rows))
+                total += np.bincount(np.unique(owner * size + words) % size, minlength=size)
         seen = np.flatnonzero(total)
-        yield pd.DataFrame({"term": np.append(seen, -1), "n": np.append(total[seen], docs)})
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["term", "n"])
 
     return run
 
@@ -168,35 +175,60 @@ class _Runs:
         return tuple(np.unique(np.concatenate(found), axis=0).T)
 
 
-def _hits(terms: np.ndarray, items: list[np.ndarray]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup, runs = _Lookup(terms), _Runs(items)
+def _hits(vocabulary: np.ndarray, items: list[np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup, runs = _Lookup(vocabulary), _Runs(items)
         for batch in batches:
-            texts = as_list(batch["text"])
-            ids, keys = batch["doc_id"].array, batch["text_key"].to_numpy()
+            texts = batch.column("text").to_pylist()
+            others = [batch.column(c) for c in ("doc_id", "text_key")]
             for lo, hi in steps(texts):
                 words = _hashes(texts[lo:hi])
-                place, term = lookup.find(words.hashes)
+                place, word = lookup.find(words.hashes)
                 cut = np.searchsorted(place, words.first)
                 text, item, piece = runs.find(words)
                 own = np.searchsorted(text, np.arange(hi - lo + 1))
                 rows = np.flatnonzero((cut[1:] > cut[:-1]) | (own[1:] > own[:-1]))
                 if not len(rows):
                     continue
-                yield pd.DataFrame(
-                    {
-                        "doc_id": ids[lo + rows],
-                        "text_key": keys[lo + rows],
-                        "places": [(place[cut[i] : cut[i + 1]] - words.first[i]).astype(np.int32) for i in rows],
-                        "terms": [term[cut[i] : cut[i + 1]].astype(np.int32) for i in rows],
-                        "items": [item[own[i] : own[i + 1]].astype(np.int32) for i in rows],
-                        "begins": [(piece[own[i] : own[i + 1]] * STRIDE).astype(np.int32) for i in rows],
-                    }
+                place = place - np.repeat(words.first[:-1], np.diff(cut))
+                gaps = np.diff(place, prepend=0)
+                begins = cut[:-1][cut[1:] > cut[:-1]]
+                gaps[begins] = place[begins]
+                in_row, in_item = np.append(cut[rows], cut[-1]), np.append(own[rows], own[-1])
+                lists = [(in_row, gaps), (in_row, word), (in_item, item), (in_item, piece * STRIDE)]
+                taken = pa.array(lo + rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[c.take(taken) for c in others],
+                        *[
+                            pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(x.astype(np.int32)))
+                            for first, x in lists
+                        ],
+                    ],
+                    ["doc_id", "text_key", "gaps", "words", "items", "begins"],
                 )
 
     return run
 
 
+@dataclass
+class Held:
+    """The benchmark's words in some documents, in order: their places, the words, and which document each is in."""
+
+    places: np.ndarray
+    words: np.ndarray
+    row: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, lo: int, hi: int) -> Held:
+        gaps, row = _lists(batch, "gaps", lo, hi)
+        words, _ = _lists(batch, "words", lo, hi)
+        whole = np.cumsum(gaps, dtype=np.int64)
+        first = np.searchsorted(row, np.arange(hi - lo))
+        before = np.concatenate([[0], whole])[first]
+        return cls(whole - before[row], words.astype(np.int64), row)
+
+
 @dataclass
 class Passages:
     """The terms in pieces of ``size`` words of some documents; pieces without a term are left out.
@@ -214,12 +246,22 @@ class Passages:
     def of(cls, rows: list[tuple[np.ndarray, np.ndarray]], size: int) -> Passages:
         terms = np.concatenate([t for _, t in rows]).astype(np.int64) if rows else np.empty(0, np.int64)
         number = np.concatenate([p for p, _ in rows]).astype(np.int64) // size if rows else np.empty(0, np.int64)
-        row = np.repeat(np.arange(len(rows)), [len(t) for _, t in rows])
+        return cls._cut(terms, number, np.repeat(np.arange(len(rows)), [len(t) for _, t in rows]))
+
+    @classmethod
+    def _cut(cls, terms: np.ndarray, number: np.ndarray, row: np.ndarray) -> Passages:
         edge = np.ones(len(terms), dtype=bool)
         edge[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
         first = np.flatnonzero(edge)
         return cls(terms, np.append(first, len(terms)), row[first], number[first])
 
+    @classmethod
+    def within(cls, held: Held, term_of: np.ndarray, size: int) -> Passages:
+        """Of the words of some documents those that are terms."""
+        terms = term_of[held.words]
+        known = terms >= 0
+        return cls._cut(terms[known], held.places[known] // size, held.row[known])
+
     def __len__(self) -> int:
         return len(self.row)
 
@@ -244,10 +286,8 @@ class Passages:
         return np.add.reduceat(idf[self.terms] ** 2, self.first[:-1]) if len(self) else np.zeros(0)
 
 
-def _chunks(batch: pd.DataFrame, size: int = 64) -> Iterator[tuple[pd.DataFrame, list[tuple[np.ndarray, np.ndarray]]]]:
-    for at in range(0, len(batch), size):
-        part = batch.iloc[at : at + size]
-        yield part, [(np.asarray(p), np.asarray(t)) for p, t in zip(part["places"], part["terms"], strict=True)]
+def _chunks(batch: pa.RecordBatch, size: int = 64) -> Iterator[tuple[int, int]]:
+    return ((lo, min(lo + size, batch.num_rows)) for lo in range(0, batch.num_rows, size))
 
 
 def _signs(keys: np.ndarray, numbers: np.ndarray, width: int) -> np.ndarray:
@@ -258,34 +298,31 @@ def _signs(keys: np.ndarray, numbers: np.ndarray, width: int) -> np.ndarray:
     return bits.astype(np.float32) * 2 - 1
 
 
-def _products(idf: np.ndarray, basis: np.ndarray | None, width: int):
+def _products(term_of: np.ndarray, idf: np.ndarray, basis: np.ndarray | None, width: int):
     """Sums over a task's passages, in groups of rows: A' S for random signs S, or (A basis)' (A basis).
 
     A has a row of unit length per passage. Factors of a term are left to the end in the first case, and are part of
     the basis in the second.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(idf) if basis is None else width, width))
         count = 0
         for batch in batches:
-            for part, rows in _chunks(batch):
-                passages = Passages.of(rows, PASSAGE)
+            text_keys = batch.column("text_key").to_numpy()
+            for lo, hi in _chunks(batch):
+                passages = Passages.within(Held.of(batch, lo, hi), term_of, PASSAGE)
                 count += len(passages)
                 scale = (1 / np.sqrt(passages.squares(idf))).astype(np.float32)[:, None]
                 if basis is None:
-                    keys = part["text_key"].to_numpy()[passages.row]
+                    keys = text_keys[lo + passages.row]
                     passages.spread(_signs(keys, passages.number, width) * scale, total)
                 else:
                     product = passages.sums(basis) * scale
                     total += product.T @ product
         groups = range(0, len(total), 64)
-        yield pd.DataFrame(
-            {
-                "part": [*groups, -1],
-                "data": [total[g : g + 64].astype("<f4").tobytes() for g in groups] + [np.array([count], "<f4").tobytes()],
-            }
-        )
+        data = [total[g : g + 64].astype("<f4").tobytes() for g in groups] + [np.array([count], "<f4").tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([*groups, -1], pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
 
     return run
 
@@ -295,8 +332,9 @@ def _sum(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [group["part"].iloc[0]], "data": [np.asarray(total, "<f8").tobytes()]})
 
 
-def _summed(hits: DataFrame, idf: np.ndarray, basis: np.ndarray | None, width: int) -> tuple[np.ndarray, float]:
-    parts = hits.select("text_key", "places", "terms").mapInPandas(_products(idf, basis, width), "part int, data binary")
+def _summed(hits: DataFrame, term_of: np.ndarray, idf: np.ndarray, basis: np.ndarray | None, width: int) -> tuple[np.ndarray, float]:
+    held = hits.select("text_key", "gaps", "words")
+    parts = held.mapInArrow(_products(term_of, idf, basis, width), "part int, data binary")
     rows = {r["part"]: r["data"] for r in parts.groupBy("part").applyInPandas(_sum, "part int, data binary").collect()}
     shape = (len(idf) if basis is None else width, width)
     if not rows:
@@ -306,7 +344,7 @@ def _summed(hits: DataFrame, idf: np.ndarray, basis: np.ndarray | None, width: i
     return whole.reshape(shape).copy(), count
 
 
-def _latent(hits: DataFrame, own: Passages, idf: np.ndarray) -> np.ndarray:
+def _latent(hits: DataFrame, term_of: np.ndarray, own: Passages, idf: np.ndarray) -> np.ndarray:
     """Terms by dimensions: the leading right singular vectors of the corpus's and the benchmark's passages, times idf.
 
     The range is drawn from the rows of both; the second pass over the corpus rotates it to the singular vectors. The
@@ -314,60 +352,54 @@ def _latent(hits: DataFrame, own: Passages, idf: np.ndarray) -> np.ndarray:
     """
     width = min(len(idf), len(own) + EXTRA + OVERSAMPLED)
     scale = 1 / np.sqrt(own.squares(idf))[:, None]
-    span, count = _summed(hits, idf, None, width)
+    span, count = _summed(hits, term_of, idf, None, width)
     weight = max(1.0, count / max(1, len(own)))
     extra = np.zeros_like(span)
     own.spread(np.random.default_rng(8).standard_normal((len(own), width)) * scale, extra)
     basis, _ = np.linalg.qr((span + weight * extra) * idf[:, None])
     weighted = (basis * idf[:, None]).astype(np.float32)
-    inner, _ = _summed(hits, idf, weighted, width)
+    inner, _ = _summed(hits, term_of, idf, weighted, width)
     mapped = own.sums(weighted).astype(np.float64) * scale
     values, vectors = np.linalg.eigh(inner + weight * mapped.T @ mapped)
     top = np.argsort(-values)[: min(width, len(own) + EXTRA)]
     return (basis @ vectors[:, top] * idf[:, None]).astype(np.float32)
 
 
-def _candidates(idf: np.ndarray, latent: np.ndarray, own: Passages, owner: np.ndarray):
+def _near(term_of: np.ndarray, idf: np.ndarray, latent: np.ndarray, own: Passages, owner: np.ndarray):
+    """A function from some documents' words to those near an item in the latent space: row, item, begin."""
+
     def unit(rows: np.ndarray) -> np.ndarray:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
     items = unit(own.sums(latent))
     least = WEIGHT**2 * float(own.squares(idf).min())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part, rows in _chunks(batch):
-                pieces = Passages.of(rows, STRIDE)
-                if not len(pieces):
-                    continue
-                sums, squares = pieces.sums(latent), pieces.squares(idf)
-                # a passage is two neighbouring pieces, of which one may hold no term
-                paired = np.flatnonzero((pieces.row[1:] == pieces.row[:-1]) & (pieces.number[1:] == pieces.number[:-1] + 1))
-                alone = np.ones((2, len(pieces)), dtype=bool)
-                alone[0, paired], alone[1, paired + 1] = False, False
-                before = np.flatnonzero(alone[1] & (pieces.number > 0))
-                last = np.flatnonzero(alone[0])
-                left = np.concatenate([paired, last, before])
-                weight = np.concatenate([squares[paired] + squares[paired + 1], squares[last], squares[before]])
-                begin = np.concatenate([pieces.number[paired], pieces.number[last], pieces.number[before] - 1])
-                heavy = np.flatnonzero(weight >= least)
-                for lo in range(0, len(heavy), 4096):
-                    some = heavy[lo : lo + 4096]
-                    vectors = sums[left[some]]
-                    both = some < len(paired)
-                    vectors[both] += sums[left[some[both]] + 1]
-                    a, b = np.nonzero(unit(vectors) @ items.T >= COSINE)
-                    at = pieces.row[left[some[a]]]
-                    yield pd.DataFrame(
-                        {
-                            "doc_id": part["doc_id"].array[at],
-                            "text_key": part["text_key"].to_numpy()[at],
-                            "item": owner[b].astype(np.int32),
-                            "begin": (begin[some[a]] * STRIDE).astype(np.int32),
-                        }
-                    )
-
-    return run
+    def found(held: Held) -> np.ndarray:
+        near = [np.empty((0, 3), dtype=np.int64)]
+        pieces = Passages.within(held, term_of, STRIDE)
+        if not len(pieces):
+            return near[0]
+        sums, squares = pieces.sums(latent), pieces.squares(idf)
+        # a passage is two neighbouring pieces, of which one may hold no term
+        paired = np.flatnonzero((pieces.row[1:] == pieces.row[:-1]) & (pieces.number[1:] == pieces.number[:-1] + 1))
+        alone = np.ones((2, len(pieces)), dtype=bool)
+        alone[0, paired], alone[1, paired + 1] = False, False
+        before = np.flatnonzero(alone[1] & (pieces.number > 0))
+        last = np.flatnonzero(alone[0])
+        left = np.concatenate([paired, last, before])
+        weight = np.concatenate([squares[paired] + squares[paired + 1], squares[last], squares[before]])
+        begin = np.concatenate([pieces.number[paired], pieces.number[last], pieces.number[before] - 1])
+        heavy = np.flatnonzero(weight >= least)
+        for lo in range(0, len(heavy), 4096):
+            some = heavy[lo : lo + 4096]
+            vectors = sums[left[some]]
+            both = some < len(paired)
+            vectors[both] += sums[left[some[both]] + 1]
+            a, b = np.nonzero(unit(vectors) @ items.T >= COSINE)
+            near.append(np.stack([pieces.row[left[some[a]]], owner[b], begin[some[a]] * STRIDE], axis=1))
+        return np.concatenate(near)
+
+    return found
 
 
 def common_subsequence(item: list[int], region: list[int]) -> int:
@@ -406,26 +438,38 @@ def leaked(item: list[int], answer: frozenset[int], region: list[int]) -> tuple[
     return share >= PARAPHRASE and present >= ANSWER, share
 
 
-def _confirmed(ids: list[int], words: list[np.ndarray], answers: list[frozenset[int]]):
+def _confirmed(near, ids: list[int], words: list[np.ndarray], answers: list[frozenset[int]]):
+    """Candidates of each document, near an item or with some of its words in a row, and what they give away.
+
+    ``words`` and ``answers`` are places in the vocabulary, as the documents' words are.
+    """
     plain = [w.tolist() for w in words]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_list(batch["text"])
-            found = []
-            for lo, hi in steps(texts):
-                held = _hashes(texts[lo:hi])
-                for i in range(lo, hi):
-                    own = held.of(i - lo)
-                    best: dict[int, float] = {}
-                    for item, begin in zip(batch["items"].iloc[i], batch["begins"].iloc[i], strict=True):
-                        reach = len(plain[item])
-                        region = own[max(0, begin - reach) : begin + PASSAGE + reach].tolist()
-                        yes, share = leaked(plain[item], answers[item], region)
-                        if yes:
-                            best[item] = max(share, best.get(item, 0.0))
-                    found += [(batch["doc_id"].iloc[i], batch["text_key"].iloc[i], ids[x], s) for x, s in best.items()]
-            yield pd.DataFrame(found, columns=["doc_id", "text_key", "item_id", "share"])
+            rows, items, shares = [], [], []
+            for lo, hi in _chunks(batch):
+                held = Held.of(batch, lo, hi)
+                item, row = _lists(batch, "items", lo, hi)
+                begin, _ = _lists(batch, "begins", lo, hi)
+                both = np.concatenate([near(held), np.stack([row, item, begin], axis=1)])
+                first = np.searchsorted(held.row, np.arange(hi - lo + 1))
+                best: dict[tuple[int, int], float] = {}
+                for r, i, at in np.unique(both, axis=0).tolist():
+                    places = held.places[first[r] : first[r + 1]]
+                    reach = len(plain[i])
+                    inside = slice(*(first[r] + np.searchsorted(places, [at - reach, at + PASSAGE + reach])))
+                    yes, share = leaked(plain[i], answers[i], held.words[inside].tolist())
+                    if yes:
+                        best[r, i] = max(share, best.get((r, i), 0.0))
+                rows += [lo + r for r, _ in best]
+                items += [ids[i] for _, i in best]
+                shares += best.values()
+            taken = pa.array(rows, pa.int64())
+            found = [batch.column("doc_id").take(taken), batch.column("text_key").take(taken)]
+            yield pa.RecordBatch.from_arrays(
+                [*found, pa.array(items, pa.int64()), pa.array(shares, pa.float64())], ["doc_id", "text_key", "item_id", "share"]
+            )
 
     return run
 
@@ -435,32 +479,32 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def retrieved(rows: DataFrame, block: Block) -> DataFrame:
-    """``doc_id``, ``text_key``, ``item`` (place in the block), ``begin``: passages near an item in the latent space, or
-    with some of its words in a row."""
-    counted = rows.select("text").mapInPandas(_frequencies(block.vocabulary), "term bigint, n bigint")
+def _of_block(rows: DataFrame, block: Block) -> DataFrame:
+    """``doc_id``, ``text_key``, ``item_id``, ``share`` for the items of one block."""
+    schema = "doc_id bigint, text_key bigint, gaps array<int>, words array<int>, items array<int>, begins array<int>"
+    hits = cut_lineage(rows.mapInArrow(_hits(block.vocabulary, block.words), schema), "hits")
+    size = len(block.vocabulary)
+    counted = hits.select("words").mapInArrow(_frequencies(size), "term bigint, n bigint")
     counts = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    n_docs = counts.pop(-1, 0)
-    df = np.zeros(len(block.vocabulary))
+    n_docs = rows.count()
+    df = np.zeros(size)
     df[list(counts)] = list(counts.values())
-    chosen = df <= COMMON * n_docs
+    in_items = np.isin(block.vocabulary, np.concatenate(block.words))
+    chosen = (df <= COMMON * n_docs) & in_items
     for passage in block.passages:
         own = np.searchsorted(block.vocabulary, np.unique(passage))
         chosen[own[np.argsort(df[own], kind="stable")[:RAREST]]] = True
-    terms = block.vocabulary[chosen]
+    term_of = np.where(chosen, np.cumsum(chosen) - 1, -1)
     idf = np.log((n_docs + 1) / (df[chosen] + 1)) + 1
-    schema = "doc_id bigint, text_key bigint, places array<int>, terms array<int>, items array<int>, begins array<int>"
-    hits = cut_lineage(rows.where("doc_id is not null").mapInPandas(_hits(terms, block.words), schema), "hits")
-    lookup = _Lookup(terms)
-    own_rows = [lookup.find(p) for p in block.passages]
-    own = Passages.of(own_rows, PASSAGE)
-    owner = block.owner[own.row]
-    latent = _latent(hits, own, idf)
-    near = hits.select("doc_id", "text_key", "places", "terms").mapInPandas(
-        _candidates(idf, latent, own, owner), "doc_id bigint, text_key bigint, item int, begin int"
-    )
-    exact = hits.where("size(items) > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("items", "begins")).alias("at"))
-    return near.union(exact.select("doc_id", "text_key", "at.items", "at.begins"))
+    lookup = _Lookup(block.vocabulary[chosen])
+    own = Passages.of([lookup.find(p) for p in block.passages], PASSAGE)
+    hits = hits.where("doc_id is not null")
+    latent = _latent(hits, term_of, own, idf)
+    near = _near(term_of, idf, latent, own, block.owner[own.row])
+    words = [np.searchsorted(block.vocabulary, w) for w in block.words]
+    answers = [frozenset(np.searchsorted(block.vocabulary, np.fromiter(a, np.uint64, len(a))).tolist()) for a in block.answers]
+    schema = "doc_id bigint, text_key bigint, item_id bigint, share double"
+    return cut_lineage(hits.mapInArrow(_confirmed(near, block.ids, words, answers), schema), "leaks")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -470,11 +514,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in _blocks(benchmark):
         if not block.ids:
             continue
-        near = retrieved(rows, block).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("item", "begin")).alias("at"))
-        near = cut_lineage(near, "near").select("doc_id", "text_key", F.col("at.item").alias("items"), F.col("at.begin").alias("begins"))
-        schema = "doc_id bigint, text_key bigint, item_id bigint, share double"
-        sure = rows.join(near, ["doc_id", "text_key"]).mapInPandas(_confirmed(block.ids, block.words, block.answers), schema)
-        sure = cut_lineage(sure, "leaks")
+        sure = _of_block(rows, block)
         found = sure if found is None else found.union(sure)
     if found is None:
         return rows.limit(0).select("doc_id", "text_key", F.lit(0).cast("bigint").alias("item_id"), F.lit(0.0).alias("share"))
