@@ -110,3 +110,35 @@ def test_parsing_grows_with_the_depth_alone():
     page = pd.DataFrame({"page_id": [1], "url": ["u"], "host": ["h"], "html": ["<div>" * 100_000 + "x"]})
     (out,) = _parsed([page])
     assert list(out["texts"][0]) == ["x"] and len(out["around"][0][0]) == 100_000
+
+
+def texts_without_tree(spark, pages):
+    rows = [(i, f"http://site.example/{i}", html) for i, html in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return [r["text"] for r in extract(table, threshold=-1).orderBy("page_id").collect()]
+
+
+def test_the_tree_judges_boxes_of_articles(spark):
+    share = '<div class="share-box"><p>Tell <a href=x>others</a></p></div>'
+    box = '<div class="article-header related"><h1>Title {i}</h1></div>'
+    refs = '<div class="link-widgets"><ul><li><a href=x>source {i}</a></ul></div>'
+    pages = [f"<body><article>{box}<h2 class=widget>Summary</h2><p>text {{i}}</p>{refs}{share}</article>".format(i=i) for i in range(4)]
+    assert texts_of(spark, pages) == [f"Title {i} Summary text {i} source {i}" for i in range(4)]
+    # of two pages nothing is known, and without the tree nothing goes
+    assert texts_of(spark, pages[:2])[0] == texts_without_tree(spark, pages)[0] == "Title 0 Summary text 0 source 0 Tell others"
+
+
+def test_the_tree_picks_the_main_branch(spark):
+    card = '<article class="card"><p>Best of the site</p></article>'
+    story = "<div><p>Story {i} is longer than what the <a href=x>site</a> says of itself.</p></div><div class=legal>All rights</div>"
+    want = [f"Story {i} is longer than what the site says of itself." for i in range(4)]
+    # a repeated article gives way to the text beside it, or to the other article
+    pages = [f"<body>{card}{story}".format(i=i) for i in range(4)]
+    assert texts_of(spark, pages) == want
+    assert texts_without_tree(spark, pages) == ["Best of the site"] * 4
+    assert texts_of(spark, [f"<body>{card}<article>{story}</article>".format(i=i) for i in range(4)]) == [w + " All rights" for w in want]
+    assert texts_of(spark, [f"<main>{card}{story}</main><p>end {{i}}".format(i=i) for i in range(4)]) == [w + " All rights" for w in want]
+    # a longer article stays, also where a host repeats it
+    long = f"<article>{card * 9}</article>"
+    assert texts_of(spark, [f"<body>{long}<p>note {i}" for i in range(4)]) == [" ".join(["Best of the site"] * 9)] * 4
+    assert texts_of(spark, [f"<body><article></article><p>note {i}" for i in range(4)]) == [""] * 4

@@ -4,11 +4,18 @@ The DOMs of one host are merged into one tree: a style node is a path of present
 words), and holds, over all pages of the host that have it, how often each sequence of children (its presentation) and
 each own text (its content) occurs. The importance of a node is the entropy of these distributions, as a share of the
 largest possible for its number of pages, weighted by how much of it is plain text and not links. Text repeated on
-every page, and menus, have importance near 0. A branch none of whose nodes is important enough is removed from each
-page of the host, except inside an article or main element, where all text stays. Pages of a host with equal main text
-count once. Inline elements belong to the block around them, so a link goes only with its block. Kinds of elements that never hold main text (scripts, forms, navigation, adverts, comments, by tag or
-class) are fixed values: their importance is 0 whatever their entropy, since adverts and menus may change from page to
-page. A class counts where all its words are of such kinds or places; inside an article where it is one such word. Within a page's article all that is left belongs to the main text; without one, its body.
+every page, and menus, have importance near 0. A branch none of whose nodes is important enough goes from each page of
+the host. Pages of a host with equal text count once. Inline elements belong to the block around them, so a link goes
+only with its block.
+
+The tree also picks the branch of a page that is its main text. Article and main elements come first, but one that the
+tree finds unimportant gives way to another that is not, or to a longer important text outside. Inside the one picked
+links count as text, and only boxes with a word of a kind that may be noise (share, related) are judged: headings and
+notes that a host repeats belong to its articles.
+
+Kinds of elements that never hold main text (scripts, forms, navigation, adverts, comments, by tag or class) are fixed
+values: their importance is 0 whatever their entropy, since adverts and menus may change from page to page. A class
+counts where all its words are of such kinds or places; inside an article where it is one such word.
 """
 
 from __future__ import annotations
@@ -53,6 +60,9 @@ NOISE_INSIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent notice notices "
     "newsletter menu menus nav navbar navigation sidebar footer comment comments reply replies discussion disqus form".split()
 )
+# Words of a box inside an article that leave it to the style tree; an article's own headers and headings are text.
+DOUBTFUL_WORDS = NOISE_WORDS - {"header"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that begin and end a block of text.
 BLOCK_TAGS = frozenset(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th "
@@ -71,6 +81,8 @@ ENDS = {
     "option": (("option",), ("select",)),
 }
 ROOTS = ("article", "main")
+# How strongly a tag says that what it holds is the main text.
+LEVELS = {"main": 1, "article": 2}
 # A branch stays from this importance on.
 THRESHOLD = 0.2
 # Below so many pages of a host a node says nothing about the site.
@@ -83,6 +95,8 @@ SPACE = re.compile(r"\s+")
 class Node:
     style: str
     noise: bool
+    # inside an article or main element, to be judged by the style tree
+    doubtful: bool = False
     children: list[Node | str] = field(default_factory=list)
 
 
@@ -138,7 +152,8 @@ class _Tree(HTMLParser):
         parent = self.open[-1][1]
         inside = self.main > 0
         noise = _is_noise(tag, names, inside)
-        node = Node(style, noise)
+        doubtful = inside and tag not in ROOTS and tag not in HEADINGS and not DOUBTFUL_WORDS.isdisjoint(words)
+        node = Node(style, noise, doubtful)
         parent.children.append(node)
         if tag not in VOID_TAGS:
             self.open.append((tag, node))
@@ -169,21 +184,8 @@ def _tag(node: Node) -> str:
     return node.style.split(".", 1)[0]
 
 
-def _main(root: Node) -> list[Node]:
-    """The outermost articles; else the main elements; else the whole page."""
-    for wanted in ROOTS:
-        found, waiting = [], [root]
-        while waiting:
-            node = waiting.pop()
-            if node.noise:
-                continue
-            if _tag(node) == wanted:
-                found.append(node)
-            else:
-                waiting += [c for c in reversed(node.children) if isinstance(c, Node)]
-        if found:
-            return found
-    return [root]
+def _level(node: Node, around: int) -> int:
+    return max(around, LEVELS.get(_tag(node), 0))
 
 
 def number_of(text: str) -> int:
@@ -210,36 +212,46 @@ def _numbers(chain: Chain | None) -> tuple[int, ...]:
     return tuple(out)
 
 
-def segments(root: Node) -> list[tuple[str, int, tuple[int, ...]]]:
-    """Texts of a page's main part without noise, in page order: text, number of its block, style nodes it stands in.
+def branches(root: Node) -> tuple[list[tuple[str, int, int, tuple[int, ...]]], int]:
+    """Texts of a page without noise, in page order: text, number of its block, level, style nodes that decide on it;
+    and the highest level of its elements: 2 with an article, 1 with a main element, else 0.
 
-    Elements of a block kind end a block, also where they are left out. Only blocks are style nodes, and only those of
-    a page without an article or main element are named, since nothing else may go.
+    Elements of a block kind end a block, also where they are left out. Only blocks are style nodes. On a text inside
+    an article or main element decide that element and the doubtful boxes in it, elsewhere all blocks around it.
     """
-    out: list[tuple[str, int, tuple[int, ...]]] = []
-    block = 0
-    for top in _main(root):
-        block += 1
-        # an element or text with the style nodes around it, or the end of a block
-        waiting: list[tuple[Node | str | None, int, Chain | None]] = [(top, ROOT, None)]
-        while waiting:
-            item, path, around = waiting.pop()
-            if item is None:
+    out: list[tuple[str, int, int, tuple[int, ...]]] = []
+    block = highest = 0
+    # an element or text with its level and the style nodes around it, or the end of a block
+    waiting: list[tuple[Node | str | None, int, int, Chain | None]] = [(root, ROOT, 0, None)]
+    while waiting:
+        item, path, level, around = waiting.pop()
+        if item is None:
+            block += 1
+        elif isinstance(item, str):
+            out.append((item, block, level, _numbers(around)))
+        else:
+            if _tag(item) in BLOCK_TAGS:
                 block += 1
-            elif isinstance(item, str):
-                out.append((item, block, _numbers(around)))
-            else:
-                if _tag(item) in BLOCK_TAGS:
-                    block += 1
-                    waiting.append((None, path, None))
-                if item is not top:
-                    if item.noise:
-                        continue
-                    path = below(path, item.style)
-                    if top is root and _is_block(item):
-                        around = (path, around)
-                waiting.extend((child, path, around) for child in reversed(item.children))
-    return out
+                waiting.append((None, path, level, None))
+            if item.noise:
+                continue
+            if item is not root:
+                path = below(path, item.style)
+                own = _level(item, level)
+                if own > level:
+                    # what is around an article says nothing about it
+                    level, around = own, (path, None)
+                    highest = max(highest, level)
+                elif _is_block(item) and (level == 0 or item.doubtful):
+                    around = (path, around)
+            waiting.extend((child, path, level, around) for child in reversed(item.children))
+    return out, highest
+
+
+def segments(root: Node) -> list[tuple[str, int, tuple[int, ...]]]:
+    """The ``branches`` of a page's highest level: its articles, else its main elements, else all of it."""
+    parts, highest = branches(root)
+    return [(text, block, around) for text, block, level, around in parts if level == highest]
 
 
 def joined(texts: list[str], numbers: list[int]) -> str:
@@ -288,24 +300,25 @@ def _plain(texts: list[str]) -> str:
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per page: its segments, a hash of its main text, and per style node hashes of presentation and own text, and
+    """Per page: its branches, a hash of its text, and per style node hashes of presentation and own text, and
     lengths of text and links."""
     for batch in batches:
         rows = []
         for page, url, host, html in zip(batch["page_id"], batch["url"], batch["host"], as_list(batch["html"]), strict=True):
             root = parse(html)
             nodes: dict[int, list] = {}
-            waiting = [(root, ROOT, False, None)]
+            waiting = [(root, ROOT, False, None, 0)]
             while waiting:
-                node, path, linked, parent = waiting.pop()
+                node, path, linked, parent, around = waiting.pop()
+                level = _level(node, around)
                 texts, inner, blocks = _inside(node, path, linked)
-                held = nodes.setdefault(path, [parent, [], [], 0, 0])
+                held = nodes.setdefault(path, [parent, [], [], 0, 0, level > 0, level == 0 or level > around or node.doubtful])
                 held[1].append(" ".join(inner))
                 if own := _plain([t for t, _ in texts]):
                     held[2].append(own)
                     held[3] += len(_plain([t for t, link in texts if not link]))
                     held[4] += len(_plain([t for t, link in texts if link]))
-                waiting += [(*c, path) for c in reversed(blocks)]
+                waiting += [(*c, path, level) for c in reversed(blocks)]
             styles = [
                 {
                     "path": path,
@@ -314,21 +327,24 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "content": number_of("|".join(texts)) if texts else NO_ID,
                     "plain": plain,
                     "link": link,
+                    "inside": inside,
+                    "judged": judged,
                 }
-                for path, (parent, shapes, texts, plain, link) in nodes.items()
+                for path, (parent, shapes, texts, plain, link, inside, judged) in nodes.items()
             ]
-            parts = segments(root)
-            texts, numbers = [t for t, _, _ in parts], [n for _, n, _ in parts]
-            main = number_of(joined(texts, numbers))
-            rows.append((page, url, host, main, styles, texts, numbers, [list(a) for _, _, a in parts]))
+            parts, highest = branches(root)
+            texts, numbers, levels = [t for t, _, _, _ in parts], [n for _, n, _, _ in parts], [x for _, _, x, _ in parts]
+            whole = number_of(joined(texts, numbers))
+            rows.append((page, url, host, whole, styles, texts, numbers, levels, highest, [list(a) for _, _, _, a in parts]))
         if rows:
-            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "main", "styles", "texts", "blocks", "around"])
+            names = ["page_id", "url", "host", "whole", "styles", "texts", "blocks", "levels", "highest", "around"]
+            yield pd.DataFrame(rows, columns=names)
 
 
 PARSED = (
-    "page_id bigint, url string, host string, main bigint, "
-    "styles array<struct<path:bigint,parent:bigint,shape:bigint,content:bigint,plain:bigint,link:bigint>>, "
-    "texts array<string>, blocks array<int>, around array<array<bigint>>"
+    "page_id bigint, url string, host string, whole bigint, "
+    "styles array<struct<path:bigint,parent:bigint,shape:bigint,content:bigint,plain:bigint,link:bigint,inside:boolean,"
+    "judged:boolean>>, texts array<string>, blocks array<int>, levels array<int>, highest int, around array<array<bigint>>"
 )
 
 
@@ -341,32 +357,35 @@ def _evenness(rows: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def unimportant(parsed: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``host``, ``removed``: style nodes (path numbers) of each host that hold nothing important, nor do those below.
+    """``host``, ``removed``: judged style nodes (path numbers) of each host that hold nothing important, nor do those
+    below.
 
-    ``parsed`` has a host, a number of the main text and the style nodes of each page. Pages of a host with equal main
-    text are one page. A node's own importance is that of its presentation or of
-    its content, whichever is larger; a branch is as important as its most important node, which its ancestors learn
-    in rounds that double the distance, so that a deep host takes a round per power of two of its depth.
+    ``parsed`` has a host, a number of the text and the style nodes of each page. Pages of a host with equal text are
+    one page. A node's own importance is that of its presentation or of its content, whichever is larger, times its
+    share of plain text outside articles; a branch is as important as its most important node, which its ancestors
+    learn in rounds that double the distance, so that a deep host takes a round per power of two of its depth.
     """
-    pages = parsed.select("host", "main", "styles").dropDuplicates(["host", "main"])
+    pages = parsed.select("host", "whole", "styles").dropDuplicates(["host", "whole"])
     rows = pages.select("host", F.inline("styles")).withColumns({c: without_id(c) for c in ("parent", "content")})
     totals = rows.groupBy("host", "path").agg(
         F.first("parent").alias("parent"),
         F.count(F.lit(1)).alias("pages"),
         F.sum("plain").alias("plain"),
         F.sum("link").alias("link"),
+        F.max("inside").alias("inside"),
+        F.max("judged").alias("judged"),
     )
     content, shape = _evenness(rows, "content", "content"), _evenness(rows, "shape", "shape")
     text_share = F.coalesce(F.col("plain") / F.nullif(F.col("plain") + F.col("link"), F.lit(0)), F.lit(0.0))
     own = F.when(F.col("pages") < least_pages, 1.0).otherwise(
-        text_share * F.greatest(F.coalesce("content", F.lit(0.0)), F.coalesce("shape", F.lit(0.0)))
+        F.when(F.col("inside"), 1.0).otherwise(text_share) * F.greatest(F.coalesce("content", F.lit(0.0)), F.coalesce("shape", F.lit(0.0)))
     )
     nodes = totals.join(content, ["host", "path"], "left").join(shape, ["host", "path"], "left")
-    nodes = nodes.select("host", "path", F.col("parent").alias("up"), (own >= threshold).alias("live"))
+    nodes = nodes.select("host", "path", "judged", F.col("parent").alias("up"), (own >= threshold).alias("live"))
     nodes = cut_lineage(nodes, "nodes")
     while not nodes.where("up is not null").isEmpty():
         nodes = cut_lineage(_doubled(nodes), "nodes")
-    return nodes.where("not live").groupBy("host").agg(F.collect_set("path").alias("removed"))
+    return nodes.where("judged and not live").groupBy("host").agg(F.collect_set("path").alias("removed"))
 
 
 def _doubled(nodes: DataFrame) -> DataFrame:
@@ -374,20 +393,37 @@ def _doubled(nodes: DataFrame) -> DataFrame:
     told = nodes.where("live and up is not null").select("host", F.col("up").alias("path"), F.lit(True).alias("told")).distinct()
     above = nodes.select("host", F.col("path").alias("up"), F.col("up").alias("next"))
     marked = nodes.join(above, ["host", "up"], "left").join(told, ["host", "path"], "left")
-    return marked.select("host", "path", F.col("next").alias("up"), (F.col("live") | F.coalesce("told", F.lit(False))).alias("live"))
+    return marked.select("host", "path", "judged", F.col("next").alias("up"), (F.col("live") | F.coalesce("told", F.lit(False))).alias("live"))
+
+
+def picked(texts: list[str], numbers: list[int], levels: list[int], highest: int, live: list[bool]) -> str:
+    """The main text of a page: what is important of its highest level, unless the tree finds nothing important there
+    and a longer important text at a lower one."""
+
+    def of(level: int, important: bool) -> str:
+        stay = [at == level and (alive or not important) for at, alive in zip(levels, live, strict=True)]
+        return joined(list(compress(texts, stay)), list(compress(numbers, stay)))
+
+    main = of(highest, True)
+    if main or highest == 0:
+        return main
+    named = of(highest, False)
+    if named:
+        for level in range(highest - 1, -1, -1):
+            if len(other := of(level, True)) > len(named):
+                return other
+    return named
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ("texts", "blocks", "levels", "highest", "around", "removed")
     for batch in batches:
-        texts = []
-        for parts, numbers, around, removed in zip(batch["texts"], batch["blocks"], batch["around"], batch["removed"], strict=True):
-            parts, numbers = list(parts), list(numbers)
-            if removed is not None:
-                gone = frozenset(int(x) for x in removed)
-                stay = [gone.isdisjoint(int(x) for x in chain) for chain in around]
-                parts, numbers = list(compress(parts, stay)), list(compress(numbers, stay))
-            texts.append(joined(parts, numbers))
-        yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+        out = []
+        for texts, numbers, levels, highest, around, removed in zip(*(batch[c] for c in columns), strict=True):
+            gone = frozenset() if removed is None else frozenset(int(x) for x in removed)
+            live = [not gone or gone.isdisjoint(int(x) for x in chain) for chain in around]
+            out.append(picked(list(texts), list(numbers), list(levels), int(highest), live))
+        yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out})
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -395,12 +431,12 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = L
 
     Character references are decoded, white space in a block becomes one space, and blocks are joined by one space.
     Null or empty html gives an empty text. Pages without a host share the empty host. Repeated rows are extracted
-    each. Empty input gives no rows. Other columns are ignored. Pages are parsed once, and their segments written.
+    each. Empty input gives no rows. Other columns are ignored. Pages are parsed once, and their branches written.
     """
     host, _ = host_and_path(F.col("url"))
     url, html = F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     rows = pages.select(with_id("page_id"), url, html, host.alias("host"))
     parsed = cut_lineage(rows.mapInPandas(_parsed, PARSED), "parsed")
-    noise = unimportant(parsed.select("host", "main", "styles"), threshold, least_pages)
-    kept = parsed.drop("styles", "main").join(noise, "host", "left").select("page_id", "url", "texts", "blocks", "around", "removed")
+    noise = unimportant(parsed.select("host", "whole", "styles"), threshold, least_pages)
+    kept = parsed.drop("styles", "whole").join(noise, "host", "left").drop("host")
     return kept.mapInPandas(_texts, "page_id bigint, url string, text string").select(without_id("page_id"), "url", "text")
