@@ -73,3 +73,12 @@ def test_sweeps_fill_as_best_fit_does():
             at += length
         assert at <= 10
     assert len(seats) == 9
+
+
+def test_plain_texts_of_many_words_leave_nothing_in_memory(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(5000))
+    whole = np.asarray(plain([text])[0][:-1], "<u4").tobytes()
+    for chars in (100, 1 << 16):
+        monkeypatch.setattr("tidemark.llm.packing.MERGED_CHARS", chars, raising=False)
+        encoder = _Encoder(PATH)
+        assert encoder.text(text) == whole and len(encoder) == 0

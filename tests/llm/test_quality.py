@@ -2,7 +2,9 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pandas as pd
 import pytest
+from tidemark.llm import quality
 from tidemark.llm.quality import _discounts, gram_scores, judge, keep_good, trusted_ids
 
 
@@ -122,3 +124,14 @@ def test_foul_sentences_in_ordinary_prose(spark, documents):
     assert gone >= set(foul)
     assert len(gone - set(foul)) <= 4
     assert 3000 not in gone
+
+
+def test_counting_holds_few_grams_and_loses_none(monkeypatch):
+    texts = [f"text {i} of some words {i * i}" for i in range(400)]
+    batch = pd.DataFrame({"text": texts, "trusted": [i % 2 == 0 for i in range(400)]})
+    monkeypatch.setattr(quality, "steps", lambda held: ((i, i + 5) for i in range(0, len(held), 5)))
+    whole = pd.concat(quality._counts(iter([batch]))).groupby("g")["c"].sum()
+    monkeypatch.setattr(quality, "HELD_GRAMS", 200)
+    frames = list(quality._counts(batch.iloc[i : i + 10] for i in range(0, 400, 10)))
+    assert len(frames) > 1 and max(map(len, frames)) < 1000
+    assert pd.concat(frames).groupby("g")["c"].sum().equals(whole)

@@ -51,3 +51,15 @@ def test_cut_lineage_keeps_rows_and_types(spark):
         written = session.cut_lineage(df, "t", folder_per)
         assert written.select(df.columns).exceptAll(df).count() == 0
         assert dict(written.dtypes) == dict(df.dtypes)
+
+
+def test_texts_go_to_python_a_few_at_a_time(spark):
+    before = spark.conf.get(session.BATCH_ROWS)
+    df = spark.range(0, 3 * session.TEXT_ROWS, numPartitions=1)
+    sizes = df.mapInPandas(lambda batches: (b.iloc[:1].assign(id=len(b)) for b in batches), "id bigint")
+    assert {r["id"] for r in session.cut_texts(sizes, "sizes").collect()} == {session.TEXT_ROWS}
+    assert spark.conf.get(session.BATCH_ROWS) == before
+    with session.batches_of(spark, 10):
+        with session.batches_of(spark, 20):
+            assert spark.conf.get(session.BATCH_ROWS) == "10"
+    assert spark.conf.get(session.BATCH_ROWS) == before

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Words, as_list, components, join_words, mix, signed, steps, stream, windows
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, cut_texts
 
 # Minhashes per part, and the chance to miss a pair that is just similar enough.
 PART = 3
@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: Fraction | str =
     found = rows.mapInPandas(
         _signatures(size, m, part), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, parts array<bigint>"
     )
-    found = cut_lineage(found, "signatures")
+    found = cut_texts(found, "signatures")
     same = ["n_shingles", "d1", "d2"]
     classes = (
         found.where("doc_id is not null and n_shingles > 0")
@@ -267,7 +267,7 @@ def _links(classes: DataFrame, rows: DataFrame, size: int, similarity: Fraction,
             lefts = [F.get("parts", F.lit(i)).alias(f"p{i}") for i in range(m)]
             slots = classes.join(open_ids, "id").select("id", F.posexplode(F.slice("parts", 1, m)).alias("slot", "part"), *lefts)
             drawn = texts.join(open_ids, "id").mapInPandas(_sketches(size), ", ".join(["id bigint"] + [f"{c} bigint" for c in sketch]))
-            drawn = cut_lineage(drawn.join(sizes, "id"), "sketches")
+            drawn = cut_texts(drawn.join(sizes, "id"), "sketches")
             slots = slots.withColumn("key", F.xxhash64("slot", "part")).drop("part")
             near = cut_lineage(slots.join(drawn, "id"), "near")
         known = _labelled(near, labels)

@@ -18,6 +18,7 @@ import types
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,14 +29,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import as_list, with_id, without_id
-from tidemark.session import cut_lineage
+from tidemark.session import cut_texts
 
 CAPACITY = 2048
 SEPARATOR = 0
 # Pieces that one slice of a size class holds on average when ranks are given.
 SLICE_ROWS = 50_000
-# Words whose ids a worker remembers, and the longest such word.
-MEMORY_WORDS = 1 << 20
+# Characters that are merged at once: their ids are Python numbers for a moment.
+MERGED_CHARS = 1 << 16
+# Words of texts in other scripts whose ids a worker remembers, and the longest such word.
+MEMORY_WORDS = 1 << 16
 MEMORY_LENGTH = 48
 
 
@@ -55,22 +58,28 @@ def _byte_letters() -> dict[str, int]:
 
 
 class _Encoder(dict):
-    """Ids of a word with the space before it, remembered.
+    """Ids of texts; as a dictionary, ids of a word with the space before it, remembered.
 
     The tokenizer splits at white space and never joins what lies on both sides of it, except that one space goes
-    with the word after it; so the ids of a text without double white space are those of its words in order.
-    A new word of plain letters is merged by a faster library from the same vocabulary, if the file is byte-level
-    with the usual pattern and its merges are in order of id.
+    with the word after it; so the ids of a text without double white space are those of its parts between spaces in
+    order. Parts of plain letters are merged by a faster library from the same vocabulary, if the file is byte-level
+    with the usual pattern and its merges are in order of id. It remembers nothing, so a worker's memory does not grow
+    with the words of the corpus. Only texts with other letters are taken word by word. The tokenizer itself is loaded
+    when a text needs it.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.merge = self._merger(path)
-
-    def _merger(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as file:
             whole = json.load(file)
+        self.special = [t["content"] for t in whole.get("added_tokens") or ()]
+        self.merge = self._merger(whole)
+
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def _merger(self, whole: dict):
         model, split = whole["model"], whole["pre_tokenizer"] or {}
         vocabulary, letters = model["vocab"], _byte_letters()
         pairs = ("".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model.get("merges", ()))
@@ -84,12 +93,15 @@ class _Encoder(dict):
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def plain(self, text: str) -> bool:
+        return self.merge is not None and (text.isascii() or _LATIN.fullmatch(text) is not None)
+
+    def merged(self, text: str) -> bytes:
+        ids = self.merge.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __missing__(self, word: str) -> bytes:
-        if self.merge is not None and (word.isascii() or _LATIN.fullmatch(word)):
-            ids = self.merge.encode_ordinary(" " + word)
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        else:
-            found = self.ids(" " + word)
+        found = self.merged(" " + word) if self.plain(word) else self.ids(" " + word)
         if len(word) <= MEMORY_LENGTH:
             if len(self) >= MEMORY_WORDS:
                 self.clear()
@@ -100,6 +112,14 @@ class _Encoder(dict):
         unsafe = any(pair in text for pair in _ASCII_PAIRS) or any(t in text for t in self.special)
         if unsafe or (not text.isascii() and any(pair in text for pair in _OTHER_PAIRS)):
             return self.ids(text)
+        if self.plain(text):
+            parts, start = [], 0
+            while start < len(text):
+                end = text.find(" ", start + MERGED_CHARS)
+                end = len(text) if end < 0 else end
+                parts.append(self.merged(text[start:end]))
+                start = end
+            return b"".join(parts)
         words = text.split(" ")
         return self.ids(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
@@ -240,7 +260,7 @@ def best_fit(
     Empty input gives no rows. Other columns are ignored. Pieces are written once, so texts are tokenized once.
     """
     pieces = token_pieces(docs, path, capacity, separator, with_ids)
-    return pack(cut_lineage(pieces if with_ids else pieces.drop("ids"), "pieces"), capacity)
+    return pack(cut_texts(pieces if with_ids else pieces.drop("ids"), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_list, signed, steps, with_id, without_id
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, cut_texts
 
 ORDER = 4
 # A unit that stands before each text; it is not scored.
 PAD = "\x02"
+# 4-grams that a task holds before it counts them together; its frames are added up by Spark before the shuffle.
+HELD_GRAMS = 1 << 20
 # Characters of a block of documents that is scored together, or one longer document.
 BLOCK_CHARS = 16 << 20
 # Trusted ids that are sent to every task; more are joined by a shuffle.
@@ -80,9 +82,9 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 held_g.append(every)
                 held_c.append(count.astype(np.float64) if flag else np.zeros(len(every)))
                 size += len(every)
-        if size > 4_000_000:
+        if size > HELD_GRAMS:
             frame = merged()
-            if len(frame) > 2_000_000:
+            if len(frame) > HELD_GRAMS // 2:
                 yield frame
                 held_g, held_c = [], []
             else:
@@ -239,7 +241,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = _rows(docs)
     ids = cut_lineage(trusted_ids(labels), "trusted")
     counted = _flagged(rows.select("doc_id", "text"), ids).select("text", "trusted").mapInPandas(_counts, "g bigint, c bigint")
-    counts = cut_lineage(counted.groupBy("g").agg(F.sum("c").alias("c")), "grams")
+    counts = cut_texts(counted.groupBy("g").agg(F.sum("c").alias("c")), "grams")
     scores = gram_scores(counts)
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = 1 + size // BLOCK_CHARS
