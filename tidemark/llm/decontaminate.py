@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Words, mix, steps, windows
-from tidemark.session import cut_lineage, cut_texts
+from tidemark.session import TEXT_ROWS, batches_of, cut_lineage
 
 # Words of a passage, and words between the beginnings of a document's passages.
 PASSAGE = 64
@@ -482,7 +482,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _of_block(rows: DataFrame, block: Block) -> DataFrame:
     """``doc_id``, ``text_key``, ``item_id``, ``share`` for the items of one block."""
     schema = "doc_id bigint, text_key bigint, gaps array<int>, words array<int>, items array<int>, begins array<int>"
-    hits = cut_texts(rows.mapInArrow(_hits(block.vocabulary, block.words), schema), "hits")
+    with batches_of(rows.sparkSession, TEXT_ROWS):
+        hits = cut_lineage(rows.mapInArrow(_hits(block.vocabulary, block.words), schema), "hits")
     size = len(block.vocabulary)
     counted = hits.select("words").mapInArrow(_frequencies(size), "term bigint, n bigint")
     counts = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
