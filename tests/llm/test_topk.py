@@ -1,7 +1,6 @@
 import math
 import pickle
 import random
-import time
 
 import numpy as np
 from tidemark.llm import topk
@@ -44,14 +43,17 @@ def test_odd_vectors(spark):
     assert top_k(data.where("vec_id = 0"), data.where("vec_id = 0")).count() == 0
 
 
-def test_all_products_cost_little(spark):
-    # vectors without any nearness: every product is computed, 8 million of them
+def test_vectors_without_nearness_are_one_leaf():
+    # small leaves prune nothing there, and a visit of two costs more than their products
+    points = np.random.default_rng(6).integers(-60, 60, (4096, 64))
+    assert len(cover_tree(points)["radius"]) == 1
+
+
+def test_same_as_all_products_without_nearness(spark):
     rng = np.random.default_rng(7)
     whole = rng.integers(-60, 60, (20000, 16))
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(whole.tolist())], "vec_id bigint, v array<bigint>")
-    began = time.monotonic()
     got = {tuple(r) for r in top_k(rows.where("vec_id % 50 = 0"), rows).collect()}
-    assert time.monotonic() - began < 60
     scores = whole[::50] @ whole.T
     scores[np.arange(400), np.arange(400) * 50] = -(1 << 40)
     order = np.lexsort((np.broadcast_to(np.arange(20000), scores.shape), -scores), axis=1)[:, :5]
